@@ -11,6 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedback_engine.sources.landing import spread
+
+KEYS = {"documents": ("doc_id",), "conversations": ("conv_id", "turn"), "pages": ("page_id",)}
+
 SECOND_BATCH = 1_000_000_000_000
 
 LONG_REVIEW = """CASE n_chars % 4
@@ -135,7 +139,8 @@ class Inputs:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A test table; each is one small file, hence shared out over the cores."""
+        return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"), *KEYS[name])
 
     def sql(self, query: str) -> DataFrame:
         """Run a query over the tables it names."""

@@ -13,6 +13,19 @@ from feedback_engine.schemas import RAW_POST, RAW_REVIEW, REQUIRED_REVIEW_COLUMN
 CORRUPT = "_corrupt_record"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share rows out by key where a source has fewer partitions than there are cores.
+
+    Cleaning costs far more than a shuffle of the raw rows, so a file that cannot
+    be split (a single row group, gzip) must not end up in one task. A source
+    with enough partitions is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"):
     """Landed files with a declared schema: parquet, ORC, or JSON lines."""
     if fmt == "json":
