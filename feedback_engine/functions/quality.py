@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedback_engine.functions.let import let
-from feedback_engine.functions.text import LETTER, SPACE, clean_and_normalize, nfkc_icu
+from feedback_engine.functions.text import LETTER, SPACE, clean_and_normalize, is_ascii, nfkc_icu
 
 # --- fixed values --------------------------------------------------------------
 
@@ -50,7 +50,7 @@ def word_count(text: Column, squeezed: bool = False) -> Column:
         return F.when(dominant, F.greatest(tokens, cjk)).otherwise(tokens)
 
     # ASCII text cannot hold CJK characters, so it skips the count.
-    cjk_chars = F.when(F.octet_length(text) == F.length(text), 0).otherwise(
+    cjk_chars = F.when(is_ascii(text), 0).otherwise(
         F.regexp_count(text, F.lit(r"[\x{4e00}-\x{9fff}]"))
     )
     return let(cjk_chars, count)
@@ -58,7 +58,10 @@ def word_count(text: Column, squeezed: bool = False) -> Column:
 
 def alpha_ratio(text: Column) -> Column:
     """Share of letters, of any script, among all characters."""
-    letters = F.length(F.regexp_replace(text, rf"[^{LETTER}]+", ""))
+    kept = F.when(is_ascii(text), F.regexp_replace(text, "[^A-Za-z]+", "")).otherwise(
+        F.regexp_replace(text, rf"[^{LETTER}]+", "")
+    )
+    letters = F.length(kept)
     return letters / F.greatest(F.length(text), F.lit(1))
 
 

@@ -133,7 +133,7 @@ def nfkc_arrow(text: pd.Series) -> pd.Series:
 
 def nfkc_normalize(text: Column) -> Column:
     """Unicode NFKC; ASCII text is passed through untouched."""
-    return let(text, lambda t: F.when(_is_ascii(t), t).otherwise(nfkc_icu(t)))
+    return let(text, lambda t: F.when(is_ascii(t), t).otherwise(nfkc_icu(t)))
 
 
 def strip_non_text(text: Column) -> Column:
@@ -146,7 +146,8 @@ def squeeze_whitespace(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, rf"(?U)[{SPACE}]+", " "))
 
 
-def _is_ascii(text: Column) -> Column:
+def is_ascii(text: Column) -> Column:
+    """Whether all characters are ASCII; both lengths are cheap to get."""
     return F.octet_length(text) == F.length(text)
 
 
@@ -157,31 +158,61 @@ def clean_text(text: Column, nfkc: Callable[[Column], Column] = nfkc_icu) -> Col
     after the other. Addresses go first, which changes nothing as quotes are
     neither white space nor part of an address prefix, so that plain ASCII text
     can skip the three steps that only concern other characters, and text in
-    accented letters the two that concern symbols. The last two steps are one pass: any run of white space or unwanted characters ends up as
-    a single space.
+    accented letters the two that concern symbols. The last two steps are one
+    pass: any run of white space or unwanted characters becomes one space.
     """
 
     def fold(t: Column) -> Column:
         symbols = F.when(t.rlike(_MAYBE_SYMBOL), strip_emoji(fold_smart_quotes(t))).otherwise(t)
-        return F.when(_is_ascii(t), t).otherwise(nfkc(symbols))
+        return F.when(
+            is_ascii(t), F.regexp_replace(t, rf"[^A-Za-z0-9_{_KEPT}]+", " ")
+        ).otherwise(F.regexp_replace(nfkc(symbols), rf"[^{WORD}{_KEPT}]+", " "))
 
-    folded = let(strip_urls(F.coalesce(text, F.lit(""))), fold)
-    return F.trim(F.regexp_replace(folded, rf"[^{WORD}{_KEPT}]+", " "))
+    return F.trim(let(strip_urls(F.coalesce(text, F.lit(""))), fold))
 
 
 # --- normalisation -------------------------------------------------------------
 
 
 def expand_contractions(text: Column) -> Column:
-    """Spell out English contractions; ``'s`` is left alone (it may be possessive)."""
-    start, end = rf"(?iu)(?<![{WORD}])", rf"(?![{WORD}])"
+    """Spell out English contractions; ``'s`` is left alone (it may be possessive).
+
+    Patterns start with a literal and look back for the stem, as scanning every
+    word for an ending is many times slower. A rule only runs where its letters
+    occur at all; replacing one contraction cannot bring about another that was
+    not there before. Without an apostrophe nothing runs.
+    """
+
+    def rules(original: Column, lowered: Column) -> Column:
+        out = original
+        for contracted, pattern, replacement in _contraction_rules():
+            out = F.when(
+                F.contains(lowered, F.lit(contracted)),
+                F.regexp_replace(out, pattern, replacement),
+            ).otherwise(out)
+        return out
+
+    def expand(t: Column) -> Column:
+        lowered = F.when(F.contains(t, F.lit("'")), F.lower(t)).otherwise("")
+        return let(lowered, lambda low: F.when(low == "", t).otherwise(rules(t, low)))
+
+    return let(text, expand)
+
+
+def _contraction_rules() -> list[tuple[str, str, str]]:
+    """What must occur, the pattern, and the replacement, in order."""
+    rules = []
+    end = rf"(?![{WORD}])"
     for word, full in CONTRACTED_WORDS:
-        text = F.regexp_replace(text, start + word + end, full)
+        pattern = word.replace("s", "[sſ]")
+        rules.append((word[1:], rf"(?i){pattern}{end}(?<![{WORD}]{pattern})", full))
     for ending, full in CONTRACTED_ENDINGS:
-        # A stem followed by an apostrophe needs no backtracking; "n't" does.
-        stem = f"([{WORD}]+)" if ending[0] == "n" else f"([{WORD}]++)"
-        text = F.regexp_replace(text, start + stem + ending + end, f"$1 {full}")
-    return text
+        stem = rf"(?<=[{WORD}]{ending})"
+        # An ending straight after a spelled-out one has lost its stem: keep it.
+        again = "" if ending == "n't" else rf"((?:{ending}{end})?)"
+        kept = "$1" if again else ""
+        rules.append((ending, rf"(?i){ending}{end}{stem}{again}", f" {full}{kept}"))
+    return rules
 
 
 def collapse_letters(text: Column) -> Column:
@@ -200,12 +231,7 @@ def normalize_text(text: Column) -> Column:
 
 
 def _normalize_squeezed(text: Column) -> Column:
-    # Only text with an apostrophe pays for the nine contraction rules.
-    expanded = let(
-        text,
-        lambda t: F.when(F.contains(t, F.lit("'")), expand_contractions(t)).otherwise(t),
-    )
-    return collapse_punctuation(collapse_letters(expanded))
+    return collapse_punctuation(collapse_letters(expand_contractions(text)))
 
 
 def clean_and_normalize(text: Column, nfkc: Callable[[Column], Column] = nfkc_icu) -> Column:

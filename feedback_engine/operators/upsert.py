@@ -107,7 +107,11 @@ def stage_communities(batch: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame, staged: DataFrame, key: str) -> DataFrame:
-    """Stored rows not in the batch, plus the batch; ``staged`` is unique on key."""
+    """Stored rows not in the batch, plus the batch; ``staged`` is unique on key.
+
+    The batch is read twice: hand in one that is written already, not one that
+    would have to be cleaned again.
+    """
     untouched = existing.join(staged.select(key), key, "left_anti")
     return untouched.unionByName(staged.select(*existing.columns))
 

@@ -24,15 +24,19 @@ def clean_posts(landed: DataFrame, language: Language = None, limit: int | None
 def post_pipeline(
     landed: DataFrame, language: Language = None, limit: int | None = None, **options
 ) -> DataFrame:
-    """Cleaned, de-duplicated and filtered posts.
+    """Cleaned, de-duplicated and filtered posts."""
+    return select_posts(clean_posts(landed, language, limit), **options)
+
+
+def select_posts(cleaned: DataFrame, **options) -> DataFrame:
+    """The part of the pipeline that follows cleaning.
 
     As for reviews, filters on what follows from title and body run before the
     de-duplication on title and body.
     """
     chosen = filters.optional_filters("posts", **options)
     return (
-        clean_posts(landed, language, limit)
-        .transform(filters.filter_empty_post)
+        cleaned.transform(filters.filter_empty_post)
         .filter(chosen["min_quality"])
         .filter(chosen["low_signal"])
         .transform(dedup_posts)

@@ -31,7 +31,12 @@ def clean_reviews(landed: DataFrame, language: Language = None, count: int | Non
 def review_pipeline(
     landed: DataFrame, language: Language = None, count: int | None = None, **options
 ) -> DataFrame:
-    """Cleaned, de-duplicated and filtered reviews.
+    """Cleaned, de-duplicated and filtered reviews."""
+    return select_reviews(clean_reviews(landed, language, count), **options)
+
+
+def select_reviews(cleaned: DataFrame, **options) -> DataFrame:
+    """The part of the pipeline that follows cleaning.
 
     Score and low-signal flag follow from the text, which is part of the
     de-duplication key: all copies pass or fail together. Those two filters
@@ -39,8 +44,7 @@ def review_pipeline(
     """
     chosen = filters.optional_filters("reviews", **options)
     return (
-        clean_reviews(landed, language, count)
-        .filter(chosen["min_quality"])
+        cleaned.filter(chosen["min_quality"])
         .filter(chosen["low_signal"])
         .transform(dedup_reviews)
         .filter(chosen["language"])
