@@ -135,7 +135,7 @@ def load_reviews(i: Inputs, store: FeedbackStore) -> DataFrame:
 
 
 def load_posts(i: Inputs, store: FeedbackStore) -> DataFrame:
-    ingest.store_posts(store, 2, final_posts(i))
+    ingest.store_posts(store, 0, final_posts(i))
     return store.read("posts")
 
 
@@ -225,7 +225,7 @@ def evolve_schema(i: Inputs) -> DataFrame:
     """Reviews written before there were quality columns, read with them."""
     store = new_store(i)
     old = upsert.stage_reviews(final_reviews(i)).drop(*QUALITY.fieldNames())
-    old.write.parquet(f"{store.root}/reviews/batch_id=0")
+    old.write.parquet(f"{store.root}/reviews/feed=reviews/batch_id=0")
     return store.read("reviews").select("review_key", "rating", *QUALITY.fieldNames())
 
 

@@ -140,7 +140,7 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         """A test table; each is one small file, hence shared out over the cores."""
-        return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"), *KEYS[name])
+        return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"), *KEYS.get(name, ()))
 
     def sql(self, query: str) -> DataFrame:
         """Run a query over the tables it names."""

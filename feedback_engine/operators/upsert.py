@@ -106,13 +106,33 @@ def stage_communities(batch: DataFrame) -> DataFrame:
 # --- merging into stored tables --------------------------------------------------
 
 
+def known_keys(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """Those keys of a batch that are stored, each once.
+
+    The stored table may be a log with repeated keys and far larger than the
+    batch: it is only filtered by the batch's keys, which needs no shuffle of it
+    where Spark finds the batch small enough to broadcast.
+    """
+    return stored.select(*key).join(batch.select(*key), key, "left_semi").distinct()
+
+
+def unseen(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of a batch whose key is not stored."""
+    return batch.join(known_keys(stored, batch, key), key, "left_anti").select(*batch.columns)
+
+
+def insert_unseen(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """Stored rows, plus the batch's rows under new keys."""
+    return stored.unionByName(unseen(stored, batch, key).select(*stored.columns))
+
+
 def upsert(existing: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """Stored rows not in the batch, plus the batch; ``staged`` is unique on key.
 
     The batch is read twice: hand in one that is written already, not one that
     would have to be cleaned again.
     """
-    untouched = existing.join(staged.select(key), key, "left_anti")
+    untouched = existing.join(staged.select(key), key, "left_anti").select(*existing.columns)
     return untouched.unionByName(staged.select(*existing.columns))
 
 
@@ -123,16 +143,15 @@ def upsert_apps(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def new_users(existing: DataFrame, staged: DataFrame) -> DataFrame:
     """Users of the batch that are not stored yet."""
-    pair = ["username", "platform"]
-    return align_schema(staged.join(existing.select(*pair), pair, "left_anti"), USERS)
+    return align_schema(unseen(existing, staged, ["username", "platform"]), USERS)
 
 
 def new_communities(existing: DataFrame, staged: DataFrame) -> DataFrame:
     """Communities whose id and name are both unknown; the first claim wins."""
-    unseen = staged.join(existing.select("subreddit_id"), "subreddit_id", "left_anti").join(
-        existing.select("name"), "name", "left_anti"
+    new_id = unseen(existing, staged, ["subreddit_id"])
+    by_id = first_per_key(
+        unseen(existing, new_id, ["name"]), ("subreddit_id",), ("arrival_seq", "name")
     )
-    by_id = first_per_key(unseen, ("subreddit_id",), ("arrival_seq", "name"))
     by_name = first_per_key(by_id, ("name",), ("arrival_seq", "subreddit_id"))
     return align_schema(by_name, COMMUNITIES)
 
@@ -155,9 +174,12 @@ def lookup_user_id(facts: DataFrame, users: DataFrame, **skew) -> DataFrame:
 
 
 def affected_rows(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Rows that came in, how many keys were new, and the rest: updates."""
+    """Rows that came in, how many keys were new, and the rest: updates.
+
+    ``existing`` may hold a key more than once, as a log does.
+    """
     per_key = incoming.groupBy(key).agg(F.count("*").alias("rows"))
-    known = existing.select(key, F.lit(1).alias("known"))
+    known = known_keys(existing, per_key, [key]).withColumn("known", F.lit(1))
     return (
         per_key.join(known, key, "left")
         .agg(

@@ -10,6 +10,8 @@ from feedback_engine.schemas import POST_PLATFORM, REVIEW_PLATFORM
 from feedback_engine.session import new_workspace
 from feedback_engine.sources.store import FeedbackStore
 
+REVIEW_FEED, POST_FEED = "reviews", "posts"
+
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
@@ -31,11 +33,12 @@ def store_reviews(
     """
     batch = materialize(reviews, "reviews")
     keyed = batch.select(upsert.batch_review_key().alias("review_key"))
-    counts = upsert.affected_rows(store.before("reviews", batch_id), keyed, "review_key")
-    store.write_batch(batch_id, {
+    stored = store.earlier("reviews", REVIEW_FEED, batch_id)
+    counts = upsert.affected_rows(stored, keyed, "review_key")
+    store.write_batch(REVIEW_FEED, batch_id, {
         "apps": upsert.stage_apps(apps),
         "users": upsert.new_users(
-            store.before("users", batch_id),
+            store.earlier("users", REVIEW_FEED, batch_id),
             upsert.stage_users(batch, "userName", REVIEW_PLATFORM),
         ),
         "reviews": upsert.stage_reviews(batch),
@@ -52,15 +55,15 @@ def store_posts(store: FeedbackStore, batch_id: int, posts: DataFrame) -> DataFr
     refused = check_communities(batch).filter("is_valid = 0").limit(20).collect()
     if refused:
         raise ValueError(f"communities without exactly one id: {[r['name'] for r in refused]}")
-    counts = upsert.affected_rows(
-        store.before("posts", batch_id), batch.select("post_id"), "post_id"
-    )
-    store.write_batch(batch_id, {
+    stored = store.earlier("posts", POST_FEED, batch_id)
+    counts = upsert.affected_rows(stored, batch.select("post_id"), "post_id")
+    store.write_batch(POST_FEED, batch_id, {
         "communities": upsert.new_communities(
-            store.before("communities", batch_id), upsert.stage_communities(batch)
+            store.earlier("communities", POST_FEED, batch_id), upsert.stage_communities(batch)
         ),
         "users": upsert.new_users(
-            store.before("users", batch_id), upsert.stage_users(batch, "author", POST_PLATFORM)
+            store.earlier("users", POST_FEED, batch_id),
+            upsert.stage_users(batch, "author", POST_PLATFORM),
         ),
         "posts": upsert.stage_posts(batch),
     })

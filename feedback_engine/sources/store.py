@@ -3,7 +3,8 @@
 A batch is written to its own folder, so ingesting never rewrites stored data,
 a replayed batch replaces itself, and a lost executor only repeats its tasks.
 Readers resolve the log to one row per key; ``compact`` writes the resolved
-tables to a new root when the log has grown.
+tables to a new root when the log has grown. From then on a reader only has to
+resolve what came later, and merges that into the compacted rows.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from feedback_engine import schemas
 from feedback_engine.operators.columns import align_schema
 from feedback_engine.operators.dedup import first_per_key, latest_per_key
+from feedback_engine.operators.upsert import insert_unseen, upsert
 
 # Table -> schema, key, and whether a later batch overwrites an earlier row.
 TABLES = {
@@ -24,9 +26,10 @@ TABLES = {
     "reviews": (schemas.REVIEWS, "review_key", True),
     "posts": (schemas.POSTS, "post_id", True),
 }
-BATCH = "batch_id"
-# The empty batch every table starts with; real batches count from 0.
-INITIAL_BATCH = -1
+# Folder levels: which feed wrote the batch, and its number within the feed.
+FEED, BATCH = "feed", "batch_id"
+# The feed that compaction writes; it holds one row per key.
+BASE = "base"
 
 
 class FeedbackStore:
@@ -38,46 +41,54 @@ class FeedbackStore:
         """Create missing tables; those that exist stay as they are."""
         for name, (schema, _, _) in TABLES.items():
             empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(self._folder(name, INITIAL_BATCH))
+            empty.write.mode("ignore").parquet(self._folder(name, BASE, -1))
         return self
 
     def log(self, table: str) -> DataFrame:
-        """All stored rows with their batch.
+        """All stored rows with their feed and batch.
 
         Columns that files of an older schema lack are filled with their
         defaults, which is all the migration an old store needs.
         """
-        schema = TABLES[table][0]
-        logged = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+        folders = [T.StructField(FEED, T.StringType()), T.StructField(BATCH, T.LongType())]
+        logged = T.StructType([*TABLES[table][0].fields, *folders])
         stored = self.spark.read.schema(logged).parquet(f"{self.root}/{table}")
         return align_schema(stored, logged)
 
-    def read(self, table: str) -> DataFrame:
-        """One row per key."""
-        schema, key, overwrites = TABLES[table]
-        pick = latest_per_key if overwrites else first_per_key
-        return pick(self.log(table), (key,), (BATCH,)).select(*schema.fieldNames())
+    def earlier(self, table: str, feed: str, batch_id: int) -> DataFrame:
+        """The log as a batch finds it: without itself and what followed it.
+
+        Unresolved, so a key may occur more than once. Folders that are left out
+        are not read.
+        """
+        own = (F.col(FEED) == feed) & (F.col(BATCH) >= batch_id)
+        return self.log(table).filter(~own)
 
-    def before(self, table: str, batch_id: int) -> DataFrame:
-        """The table as a batch finds it (other folders are not even listed)."""
+    def read(self, table: str, up_to: int | None = None) -> DataFrame:
+        """One row per key, optionally of the batches up to one."""
         schema, key, overwrites = TABLES[table]
+        log = self.log(table)
+        recent = log.filter(F.col(FEED) != BASE)
+        if up_to is not None:
+            recent = recent.filter(F.col(BATCH) <= up_to)
         pick = latest_per_key if overwrites else first_per_key
-        earlier = self.log(table).filter(F.col(BATCH) < batch_id)
-        return pick(earlier, (key,), (BATCH,)).select(*schema.fieldNames())
+        resolved = pick(recent, (key,), (BATCH, FEED)).select(*schema.fieldNames())
+        base = log.filter(F.col(FEED) == BASE).select(*schema.fieldNames())
+        return upsert(base, resolved, key) if overwrites else insert_unseen(base, resolved, [key])
 
-    def write_batch(self, batch_id: int, tables: dict[str, DataFrame]) -> None:
+    def write_batch(self, feed: str, batch_id: int, tables: dict[str, DataFrame]) -> None:
         """Write a batch's rows, unique on key; repeating it changes nothing."""
         if batch_id < 0:
             raise ValueError("batch_id must not be negative")
         for name, df in tables.items():
             aligned = align_schema(df, TABLES[name][0])
-            aligned.write.mode("overwrite").parquet(self._folder(name, batch_id))
+            aligned.write.mode("overwrite").parquet(self._folder(name, feed, batch_id))
 
     def compact(self, new_root: str, up_to: int) -> FeedbackStore:
-        """Resolve all batches up to one into that one batch of a new store."""
+        """Resolve all batches up to one into the base of a new store."""
         compacted = FeedbackStore(self.spark, new_root).initialize()
-        compacted.write_batch(up_to, {name: self.before(name, up_to + 1) for name in TABLES})
+        compacted.write_batch(BASE, up_to, {name: self.read(name, up_to) for name in TABLES})
         return compacted
 
-    def _folder(self, table: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/{BATCH}={batch_id}"
+    def _folder(self, table: str, feed: str, batch_id: int) -> str:
+        return f"{self.root}/{table}/{FEED}={feed}/{BATCH}={batch_id}"

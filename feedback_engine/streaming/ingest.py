@@ -1,4 +1,4 @@
-"""Ingest newly landed review files with Structured Streaming.
+"""Ingest newly landed files with Structured Streaming.
 
 Each trigger takes the files that arrived since the last one, cleans and
 de-duplicates them as one batch, and upserts them under the micro-batch id. A
@@ -10,14 +10,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from feedback_engine.plans.ingest import store_reviews
+from feedback_engine.plans.ingest import store_posts, store_reviews
+from feedback_engine.plans.posts import post_pipeline
 from feedback_engine.plans.reviews import Language, review_pipeline
-from feedback_engine.schemas import RAW_REVIEW
+from feedback_engine.schemas import RAW_POST, RAW_REVIEW
 from feedback_engine.sources.store import FeedbackStore
 
 
+def _ingest(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    checkpoint: str,
+    store_batch: Callable[[DataFrame, int], None],
+) -> StreamingQuery:
+    """Process everything landed so far, then stop.
+
+    A checkpoint folder belongs to one store for good: in a new one batch ids
+    would start over.
+    """
+    return (
+        spark.readStream.schema(schema)
+        .parquet(landing)
+        .writeStream.foreachBatch(store_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def ingest_reviews(
     spark: SparkSession,
     landing: str,
@@ -27,22 +51,30 @@ def ingest_reviews(
     language: Language = None,
     **options,
 ) -> StreamingQuery:
-    """Process everything landed so far, then stop.
+    """Landed reviews into apps, users and reviews.
 
     ``apps`` derives the batch's app rows (app_id, app_name, arrival_seq) from
-    its reviews. The checkpoint folder belongs to one store for good: batch ids
-    start over in a new one.
+    its landed reviews.
     """
 
     def store_batch(landed: DataFrame, batch_id: int) -> None:
         reviews = review_pipeline(landed, language, **options)
         store_reviews(store, batch_id, reviews, apps(landed))
 
-    return (
-        spark.readStream.schema(RAW_REVIEW)
-        .parquet(landing)
-        .writeStream.foreachBatch(store_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _ingest(spark, landing, RAW_REVIEW, checkpoint, store_batch)
+
+
+def ingest_posts(
+    spark: SparkSession,
+    landing: str,
+    store: FeedbackStore,
+    checkpoint: str,
+    language: Language = None,
+    **options,
+) -> StreamingQuery:
+    """Landed posts into communities, users and posts."""
+
+    def store_batch(landed: DataFrame, batch_id: int) -> None:
+        store_posts(store, batch_id, post_pipeline(landed, language, **options))
+
+    return _ingest(spark, landing, RAW_POST, checkpoint, store_batch)

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from feedback_engine import catalog
 from feedback_engine.fixtures import Inputs
-from feedback_engine.operators import langid, upsert
+from feedback_engine.operators import columns, langid, upsert
 from feedback_engine.plans import ingest, posts, reviews
+from feedback_engine.schemas import RAW_POST
 from feedback_engine.session import new_workspace
 from feedback_engine.sources.store import FeedbackStore
+from feedback_engine.streaming.ingest import ingest_posts
 from tests.conftest import plan_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -82,6 +84,11 @@ def test_log_equals_merge_and_compaction(inputs, spark, store):
     compacted = store.compact(new_workspace(spark, "compacted"), 1)
     assert rows(compacted.read("reviews")) == merged
     assert compacted.log("reviews").count() == len(merged)
+    # A later batch merges into the compacted rows.
+    ingest.store_reviews(compacted, 2, catalog.final_reviews(inputs), catalog.app_names(inputs))
+    again = upsert.upsert(compacted.read("reviews"), first, "review_key")
+    assert rows(compacted.read("reviews")) == rows(again)
+    assert compacted.read("users").count() == store.read("users").count()
 
 
 def test_ambiguous_communities_are_refused(inputs, store):
@@ -117,7 +124,9 @@ def test_language_profile_on_held_out_documents(spark):
     assert got.filter("language = lang_hint").count() > 0.9 * got.filter("language IS NOT NULL").count()
 
 
-def test_scores_follow_labels(inputs):
+def test_scores_follow_labels(spark):
+    """On average only, and over enough labelled rows: scores know sizes, not sense."""
+    inputs = Inputs(spark, "/root/testdata/sf0.01")
     scored = inputs.table("documents").join(inputs.table("labels"), "doc_id").select(
         "quality", catalog.quality.preprocess_text(F.col("text"))["quality_score"].alias("score")
     )
@@ -125,6 +134,19 @@ def test_scores_follow_labels(inputs):
     assert mean[1] >= mean[0]
 
 
+def test_post_stream_shares_the_store(inputs, spark, store):
+    """Both feeds count their own batches; neither overwrites the other's users."""
+    ingest.store_reviews(store, 0, catalog.final_reviews(inputs), catalog.app_names(inputs))
+    reviewers = store.read("users").count()
+    base = new_workspace(spark, "posts")
+    columns.align_schema(inputs.posts(), RAW_POST).write.parquet(f"{base}/landing")
+    for _ in range(2):
+        ingest_posts(spark, f"{base}/landing", store, f"{base}/checkpoint").awaitTermination()
+    assert store.read("posts").count() == posts.post_pipeline(inputs.posts()).count()
+    assert store.read("users").filter("platform = 'apple'").count() == reviewers
+    assert store.read("users").filter("platform = 'reddit'").count() > 0
+
+
 def test_stream_ends_where_batches_end(inputs):
     streamed = catalog.REGISTRY["incremental_ingest"](inputs)
     batch = catalog.REGISTRY["sink_reviews"](inputs)
