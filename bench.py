@@ -21,13 +21,10 @@ QUERIES = (
     "preprocess_text",
     "dedup_reviews",
     "filter_pipeline",
-    "overview",
     "full_report",
     "batch_stats",
-    "stage_comparison",
     "lookup_user_id",
     "upsert_reviews",
-    "upsert_posts",
     "langid_train",
     "langid_score",
     "classify_source",
@@ -38,7 +35,7 @@ QUERIES = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "bench",
         master=f"local[{cpus}]",

@@ -443,7 +443,7 @@ def insert_new_users(i: Inputs) -> DataFrame:
     incoming = upsert.stage_users(later_reviews(i), "userName", REVIEW_PLATFORM).unionByName(
         upsert.stage_users(final_posts(i), "author", POST_PLATFORM)
     )
-    return upsert.insert_users(stored, incoming)
+    return upsert.insert_users(stored, ingest.materialize(incoming, "users"))
 
 
 query("insert_new_communities")(
