@@ -160,15 +160,23 @@ def clean_text(text: Column, nfkc: Callable[[Column], Column] = nfkc_icu) -> Col
     can skip the three steps that only concern other characters, and text in
     accented letters the two that concern symbols. The last two steps are one
     pass: any run of white space or unwanted characters becomes one space.
+
+    Another ``nfkc`` runs on every text: Python functions cannot be called in
+    the lambda that tells the texts apart.
     """
+    stripped = strip_urls(F.coalesce(text, F.lit("")))
+    unwanted = rf"[^{WORD}{_KEPT}]+"
+    if nfkc is not nfkc_icu:
+        folded = nfkc(strip_emoji(fold_smart_quotes(stripped)))
+        return F.trim(F.regexp_replace(folded, unwanted, " "))
 
     def fold(t: Column) -> Column:
         symbols = F.when(t.rlike(_MAYBE_SYMBOL), strip_emoji(fold_smart_quotes(t))).otherwise(t)
         return F.when(
             is_ascii(t), F.regexp_replace(t, rf"[^A-Za-z0-9_{_KEPT}]+", " ")
-        ).otherwise(F.regexp_replace(nfkc(symbols), rf"[^{WORD}{_KEPT}]+", " "))
+        ).otherwise(F.regexp_replace(nfkc_icu(symbols), unwanted, " "))
 
-    return F.trim(let(strip_urls(F.coalesce(text, F.lit(""))), fold))
+    return F.trim(let(stripped, fold))
 
 
 # --- normalisation -------------------------------------------------------------
