@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.llm import simhash
+from feedback_engine.llm import bpe, simhash
 from feedback_engine.llm.common import table
 
 
@@ -20,8 +21,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(encoded, vocabulary, public_tokenizers.PATTERN))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash]
+    found = [op1_simhash, op3_byte_bpe]
     return {query.__name__: query for query in found}
 
 
