@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.llm import bpe, mixing, simhash
+from feedback_engine.llm import bpe, mixing, puclass, simhash
 from feedback_engine.llm.common import table
 
 
@@ -27,12 +27,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, vocabulary, public_tokenizers.PATTERN))
 
 
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return puclass.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op3_byte_bpe, op8_source_mixing]
+    found = [op1_simhash, op3_byte_bpe, op7_pu_quality, op8_source_mixing]
     return {query.__name__: query for query in found}
 
 
