@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 BLOCK = 256
 # How many different strings, and characters of them, a task remembers: bounds memory only.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 16_000_000
+REMEMBERED, REMEMBERED_CHARS = 250_000, 8_000_000
 # Characters, or ids, that are worked on at once, if no single text holds more.
-PORTION = 8_000_000
+PORTION = 2_500_000
 
 
 class RankQueue:
@@ -256,13 +256,16 @@ def _strings(text: str | None, pieces: Callable[[str], list[str]]) -> list[str]:
     return [first, *map(" ".__add__, others)]
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False
+) -> DataFrame:
     """(``id_col``, ids) of every row: the token ids of the whole text, without special tokens.
 
     ``vocabulary`` is the path of a rank file on the driver, which sends it to
-    the tasks; ``pattern`` splits a text into pre-tokens. Null and empty texts
-    have no ids. Rows without an id and repeated rows come back like any other;
-    further columns are not read.
+    the tasks; ``pattern`` splits a text into pre-tokens. With ``back`` the ids
+    are decoded again, into a column ``decoded``, by the same task. Null and
+    empty texts have no ids. Rows without an id and repeated rows come back like
+    any other; further columns are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
@@ -271,11 +274,14 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         for some in _portions(batches, 1):
             ids, offsets = coder.encode(some.column(1).to_pylist())
             made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([some.column(0), made], names=[id_col, "ids"])
+            columns, names = [some.column(0), made], [id_col, "ids"]
+            if back:
+                columns, names = [*columns, _decoded(coder, made)], [*names, "decoded"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     chosen = docs.select(id_col, F.col(text_col).cast("string"))
     kind = chosen.schema[id_col].dataType.simpleString()
-    return chosen.mapInArrow(run, f"{id_col} {kind}, ids array<int>")
+    return chosen.mapInArrow(run, f"{id_col} {kind}, ids array<int>" + ", decoded binary" * back)
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -288,13 +294,7 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = BytePairs(sent.value, pattern)
         for some in _portions(batches, 1):
-            ids = some.column(1)
-            offsets = np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
-            data, ends = coder.decode(ids.flatten().to_numpy(zero_copy_only=False), offsets)
-            buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)]
-            made = pa.Array.from_buffers(pa.binary(), len(ids), buffers)
-            if ids.null_count:
-                made = pa.compute.if_else(ids.is_valid(), made, pa.scalar(None, pa.binary()))
+            made = _decoded(coder, some.column(1))
             yield pa.RecordBatch.from_arrays([*some.columns, made], names=[*some.schema.names, "decoded"])
 
     chosen = encoded.select("doc_id", "ids")
@@ -302,6 +302,16 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     return chosen.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
+def _decoded(coder: BytePairs, ids: pa.ListArray) -> pa.Array:
+    lengths = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    data, ends = coder.decode(ids.flatten().to_numpy(zero_copy_only=False), offsets)
+    made = pa.Array.from_buffers(
+        pa.binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)]
+    )
+    return pa.compute.if_else(ids.is_valid(), made, pa.scalar(None, pa.binary())) if ids.null_count else made
+
+
 def _portions(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """Runs of rows in which ``column`` holds about ``PORTION`` characters or numbers; a row is never cut."""
     for batch in batches:

@@ -23,8 +23,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, vocabulary, public_tokenizers.PATTERN))
+    documents = table(spark, sf_dir, "documents")
+    return bpe.digests(bpe.encode(documents, vocabulary, public_tokenizers.PATTERN, back=True))
 
 
 def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
