@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.llm import bpe, mixing, puclass, simhash
+from feedback_engine.llm import bpe, langid, mixing, puclass, secrets, simhash
 from feedback_engine.llm.common import table
 
 
@@ -35,8 +35,16 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_predictions(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op3_byte_bpe, op7_pu_quality, op8_source_mixing]
+    found = [op1_simhash, op3_byte_bpe, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language]
     return {query.__name__: query for query in found}
 
 
