@@ -46,21 +46,19 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
-def spanning_links(size: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Links (root, member) that join the same of ``size`` nodes as the pairs given, at most one per node."""
-    parent = list(range(size))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for a, b in zip(left.tolist(), right.tolist()):
-        a, b = find(a), find(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    return [(root, x) for x in range(size) if (root := find(x)) != x]
+def spanning_links(size: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(root, member) links that join the same of ``size`` nodes as the pairs given, one for each node not a root."""
+    label = np.arange(size)
+    while True:
+        low = np.minimum(label[left], label[right])
+        now = label.copy()
+        np.minimum.at(now, label[left], low)
+        np.minimum.at(now, label[right], low)
+        now = now[now]
+        if (now == label).all():
+            members = np.flatnonzero(label != np.arange(size))
+            return label[members], members
+        label = now
 
 
 def components(links: DataFrame, label: str) -> DataFrame:

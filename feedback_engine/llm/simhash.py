@@ -154,8 +154,9 @@ def _linker(distance: int, bucket: int):
         if len(fp) > 1:
             apart = np.bitwise_count(fp[:, None] ^ fp[None, :])
             left, right = np.nonzero(np.triu(apart <= distance, 1))
-            for a, b in spanning_links(len(fp), left, right):
-                out.append((key[0], fp[a], fp[b], 0, True))
+            if len(left):
+                for a, b in zip(*spanning_links(len(fp), left, right)):
+                    out.append((key[0], fp[a], fp[b], 0, True))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.uint64)] * 3
