@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.llm import bpe, langid, mixing, puclass, secrets, simhash, substrings, vectors
+from feedback_engine.llm import bpe, descent, langid, mixing, puclass, secrets, simhash, substrings, vectors
 from feedback_engine.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op5_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_links(table(spark, sf_dir, "embeddings"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return descent.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return puclass.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,7 +56,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language]
+    found = [op1_simhash, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op6_nn_descent, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language]
     return {query.__name__: query for query in found}
 
 
