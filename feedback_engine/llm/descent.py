@@ -24,12 +24,12 @@ from feedback_engine.llm.common import written
 from feedback_engine.llm.vectors import usable
 
 DEGREE = 32
-ROUNDS = 4
+ROUNDS = 5
 TREES, LEAF = 6, 512  # first comparisons: sets of hyperplanes, and vectors expected on the same sides
 BLOCK = 1024  # at most about so many vectors are compared all against all
 MEMBERS = 48  # neighbours that a node introduces to each other: its own, and the nearest of those that chose it
 INTRODUCED = 6  # new acquaintances that one introduction may give to a vector
-BEAM, EXPANDED = 80, 20  # best nodes a query keeps, and how many of them it expands in a round
+BEAM, EXPANDED = 200, 40  # best nodes a query keeps, and how many of them it expands in a round
 NEAREST = 20
 QUERIES = 20  # ids divisible by this are queries
 BUCKET = 4096  # nodes expected in a bucket
