@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.llm import bpe, descent, langid, mixing, puclass, secrets, simhash, substrings, vectors
+from feedback_engine.llm import bpe, brown, descent, langid, mixing, puclass, secrets, simhash, substrings, vectors
 from feedback_engine.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = table(spark, sf_dir, "documents")
@@ -56,7 +60,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op6_nn_descent, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language]
+    found = [op1_simhash, op2_brown_lm, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op6_nn_descent, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language]
     return {query.__name__: query for query in found}
 
 
