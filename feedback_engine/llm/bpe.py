@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 256
@@ -329,11 +329,12 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of rows with doc_id, ids and decoded."""
+def digests(decoded: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of rows with doc_id, ids and decoded, and ``more`` of them."""
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
