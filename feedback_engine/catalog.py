@@ -455,7 +455,7 @@ query("insert_new_communities")(
 
 @query("lookup_user_id")
 def lookup_user_id(i: Inputs) -> DataFrame:
-    """Later reviews against earlier users; a low bound makes some names hot."""
+    """Later reviews against earlier users; names with a hundredth of the rows are hot."""
     reviewers = landing.typed_reviews(landing.scan_reviews(i.later_reviews())).select(
         "arrival_seq", F.col("userName").alias("username"), F.lit(REVIEW_PLATFORM).alias("platform")
     )
@@ -463,7 +463,7 @@ def lookup_user_id(i: Inputs) -> DataFrame:
         "arrival_seq", F.col("author").alias("username"), F.lit(POST_PLATFORM).alias("platform")
     )
     return upsert.lookup_user_id(
-        reviewers.unionByName(authors), first_users(i), min_rows=50, salts=4
+        reviewers.unionByName(authors), first_users(i), share=0.01, salts=4
     ).select("arrival_seq", "username", "user_id")
 
 

@@ -97,7 +97,7 @@ def _posts(shift: int, prefix: str, body: str) -> str:
   cast(1704067200.0 + conv_id * 3600 + turn * 60.5 AS double) AS created_utc,
   CASE WHEN conv_id % 2 = 0 THEN NULL ELSE 'flair' || cast(conv_id % 3 AS string) END
     AS link_flair_text,
-  CASE conv_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'zh-cn' ELSE 'fr' END AS lang_hint
+  CASE (conv_id + {shift}) % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'zh-cn' ELSE 'fr' END AS lang_hint
   FROM conversations"""
 
 

@@ -13,8 +13,14 @@ KEY_TEXT_CHARS = 100
 
 
 def review_key(app_id: Column, user: Column, timestamp_text: Column, text: Column) -> Column:
-    """SHA-256 of app, user, time and the first characters of the text."""
-    head = F.substring(strip_edges(F.coalesce(text, F.lit(""))), 1, KEY_TEXT_CHARS)
+    """SHA-256 of app, user, time and the first characters of the text; nulls count as empty.
+
+    Every part keeps its place, so rows that lack different parts have different keys.
+    """
+    app_id, user, timestamp_text, text = (
+        F.coalesce(part, F.lit("")) for part in (app_id, user, timestamp_text, text)
+    )
+    head = F.substring(strip_edges(text), 1, KEY_TEXT_CHARS)
     return F.sha2(F.concat_ws(KEY_SEPARATOR, app_id, user, timestamp_text, head), 256)
 
 

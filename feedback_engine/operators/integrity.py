@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedback_engine.functions.casts import strip_edges
 from feedback_engine.operators.filters import RATING_RANGE
 
 # Columns that may not be null, unique keys, references.
@@ -99,11 +100,12 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
 def check_communities(batch: DataFrame) -> DataFrame:
     """Per community name: its ids, and whether the batch may be stored.
 
-    A name needs exactly one id (null counts as a value) and that id not blank;
-    an id must not be claimed by two names.
+    A name needs exactly one id as it came (null counts as a value, and so does
+    white space around it) and that id not blank; an id must not be claimed by
+    two names.
     """
     pairs = batch.groupBy(
-        F.lower("subreddit_name").alias("name"), F.btrim("subreddit_id").alias("id")
+        F.lower("subreddit_name").alias("name"), F.col("subreddit_id").alias("id")
     ).agg(F.count("*").alias("rows"))
     names_per_id = pairs.groupBy("id").agg(F.count("*").alias("names"))
     return (
@@ -113,7 +115,7 @@ def check_communities(batch: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n_ids"),
             F.max("names").alias("max_names_per_id"),
-            F.count_if(F.coalesce(F.col("id"), F.lit("")) == "").alias("blank_ids"),
+            F.count_if(strip_edges(F.coalesce(F.col("id"), F.lit(""))) == "").alias("blank_ids"),
             F.sum("rows").alias("n_rows"),
         )
         .withColumn(

@@ -1,9 +1,10 @@
 """Language identification from character trigrams.
 
-Training is a Spark aggregation. Its result is small by construction
-(``PROFILE_SIZE`` trigrams per language), so scoring needs neither join nor
-shuffle: each task holds the profile and adds up scores for its own rows.
-Joining trigrams as rows would shuffle every document apart and together again.
+Training is a Spark aggregation over all labelled rows, or over a bounded sample
+of them, and keeps every trigram. Its result follows the alphabets, not the
+number of texts, so scoring needs neither join nor shuffle: the profile is sent
+to the tasks once, and each adds up scores for its own rows. Joining trigrams as
+rows would shuffle every document apart and together again.
 """
 
 from __future__ import annotations
@@ -19,9 +20,7 @@ from pyspark.sql import types as T
 
 # Fixed values.
 MIN_CHARS = 20
-PROFILE_SIZE = 1000
 LOG_SCALE = 1000
-MAX_LANGUAGES = 1000
 
 # Each match consumes one character and captures the three starting there.
 _TRIGRAM = r"(?s)(?=(.{3}))."
@@ -37,25 +36,27 @@ def trigram_counts(df: DataFrame, text: str, lang: str) -> DataFrame:
     )
 
 
-def train_profile(df: DataFrame, text: str, lang: str, size: int = PROFILE_SIZE) -> DataFrame:
-    """The most frequent trigrams per language with smoothed log-probabilities.
+def labelled_sample(df: DataFrame, lang: str, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows per language: those with the smallest hashes of ``key``."""
+    order = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
+    ranked = df.withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= rows).drop("_rank")
+
+
+def train_profile(df: DataFrame, text: str, lang: str) -> DataFrame:
+    """All trigrams per language with smoothed log-probabilities.
 
     Logarithms are scaled to integers so that sums do not depend on row order.
     ``floor`` is the value of a trigram the language's profile does not hold.
+    To bound the fit, hand in a ``labelled_sample``.
     """
     counts = trigram_counts(df, text, lang)
     mass = counts.groupBy("lang").agg((F.sum("n") + F.count("*")).alias("mass"))
-    ranked = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
-    top = (
-        counts.withColumn("rank", F.row_number().over(ranked))
-        .filter(F.col("rank") <= size)
-        .drop("rank")
-    )
 
     def scaled_log(share: Column) -> Column:
         return F.round(F.log(share) * F.lit(float(LOG_SCALE))).cast("bigint")
 
-    return top.join(mass, "lang").select(
+    return counts.join(mass, "lang").select(
         "lang",
         "gram",
         "n",
@@ -64,62 +65,82 @@ def train_profile(df: DataFrame, text: str, lang: str, size: int = PROFILE_SIZE)
     )
 
 
-def _trigram_codes(text: str) -> np.ndarray:
+SHIFT = np.uint64(21)
+
+
+def _trigram_codes(chars: np.ndarray) -> np.ndarray:
     """Each trigram packed into one integer, 21 bits per character."""
-    chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    shift = np.uint64(21)
-    return (((chars[:-2] << shift) | chars[1:-1]) << shift) | chars[2:]
+    return (((chars[:-2] << SHIFT) | chars[1:-1]) << SHIFT) | chars[2:]
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
 
 
 @dataclass(frozen=True)
 class LanguageProfile:
-    """A trained profile, laid out for look-up by trigram code."""
+    """A trained profile: trigram codes, and for each the languages that hold it with their gains."""
 
     languages: list[str]
     codes: np.ndarray
-    gains: np.ndarray
+    starts: np.ndarray  # where each code's entries start, and where the last ends
+    entry_language: np.ndarray
+    entry_gain: np.ndarray
     floors: np.ndarray
 
     @classmethod
-    def from_rows(cls, profile: DataFrame, size: int = PROFILE_SIZE) -> LanguageProfile:
-        """Bring a trained profile to the driver; its row count is checked."""
-        bound = size * MAX_LANGUAGES
-        rows = profile.select("lang", "gram", "logp", "floor").limit(bound + 1).collect()
-        if not rows or len(rows) > bound:
-            raise ValueError(f"a profile holds 1 to {bound} rows, got {len(rows)} or more")
-        languages = sorted({r.lang for r in rows})
-        position = {lang: i for i, lang in enumerate(languages)}
+    def from_rows(cls, profile: DataFrame) -> LanguageProfile:
+        """Bring a trained profile to the driver as Arrow columns."""
+        table = profile.select("lang", "gram", "logp", "floor").toArrow()
+        if not table.num_rows:
+            raise ValueError("a profile needs at least one trigram")
+        lang = table["lang"].to_pandas()
+        languages = sorted(lang.unique())
+        which = lang.map({name: k for k, name in enumerate(languages)}).to_numpy(np.int32)
+        packed = _trigram_codes(_code_points("".join(table["gram"].to_pylist())))[::3]
+        logp, floor = table["logp"].to_numpy(), table["floor"].to_numpy()
         floors = np.zeros(len(languages), dtype=np.int64)
-        packed = [int(_trigram_codes(r.gram)[0]) for r in rows]
-        codes = np.unique(np.array(packed, dtype=np.uint64))
-        # One more row than trigrams: unknown ones land there and gain nothing.
-        gains = np.zeros((len(codes) + 1, len(languages)), dtype=np.int64)
-        at = np.searchsorted(codes, np.array(packed, dtype=np.uint64))
-        for r, k in zip(rows, at):
-            gains[k, position[r.lang]] = r.logp - r.floor
-            floors[position[r.lang]] = r.floor
-        return cls(languages, codes, gains, floors)
-
-    def best(self, text: str | None) -> str | None:
-        """Most probable language; none for short text or no known trigram."""
-        if text is None or len(text) < MIN_CHARS:
-            return None
-        grams = _trigram_codes(text)
+        floors[which] = floor
+        order = np.lexsort((which, packed))
+        codes, starts = np.unique(packed[order], return_index=True)
+        gains = (logp - floor).astype(np.int32)[order]
+        return cls(languages, codes, np.append(starts, len(order)), which[order], gains, floors)
+
+    def best(self, texts: list[str | None]) -> list[str | None]:
+        """Most probable language of each text; none for short texts or without a known trigram."""
+        usable = [k for k, text in enumerate(texts) if text is not None and len(text) >= MIN_CHARS]
+        found: list[str | None] = [None] * len(texts)
+        if not usable:
+            return found
+        sizes = np.array([len(texts[k]) for k in usable])
+        grams = _trigram_codes(_code_points("".join(texts[k] for k in usable)))
+        owner = np.repeat(np.arange(len(usable)), sizes)[: len(grams)]
+        # Trigrams that reach into the next text are none.
+        left = np.repeat(np.cumsum(sizes), sizes)[: len(grams)] - np.arange(len(grams))
+        grams, owner = grams[left > 2], owner[left > 2]
         at = np.minimum(np.searchsorted(self.codes, grams), len(self.codes) - 1)
-        at = np.where(self.codes[at] == grams, at, len(self.codes))
-        rows, times = np.unique(at, return_counts=True)
-        if rows[0] == len(self.codes):
-            return None
-        scores = times @ self.gains[rows] + len(grams) * self.floors
-        return self.languages[int(np.argmax(scores))]
+        known = self.codes[at] == grams
+        at, owner = at[known], owner[known]
+        counts = self.starts[at + 1] - self.starts[at]
+        before = np.cumsum(counts) - counts
+        entries = np.repeat(self.starts[at] - before, counts) + np.arange(counts.sum())
+        cells = np.repeat(owner, counts) * len(self.languages) + self.entry_language[entries]
+        # Whole numbers below 2**53, so their sums as doubles are exact.
+        sums = np.bincount(cells, self.entry_gain[entries], len(usable) * len(self.languages))
+        scores = sums.reshape(len(usable), -1) + (sizes - 2)[:, None] * self.floors
+        some = np.bincount(owner, minlength=len(usable)) > 0
+        for k, ok, language in zip(usable, some, scores.argmax(axis=1)):
+            if ok:
+                found[k] = self.languages[language]
+        return found
 
     def detect(self, text: Column) -> Column:
-        """Language code column, computed in Arrow batches."""
+        """Language code column, computed for whole Arrow batches."""
         profile = self
 
         @F.pandas_udf(T.StringType())
         def detect_language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield batch.map(profile.best)
+                yield pd.Series(profile.best(batch.tolist()), dtype=object)
 
         return detect_language(F.lower(text))

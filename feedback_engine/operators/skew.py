@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
+HOT_SHARE = 0.001
 SALTS = 256
 
 
-def hot_keys(df: DataFrame, keys: tuple[str, ...], min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows: never more than rows / min_rows of them."""
+def hot_keys(df: DataFrame, keys: tuple[str, ...], share: float) -> DataFrame:
+    """Keys that hold at least this share of all rows: never more than 1 / share of them."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("_total"))  # one row
     return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") >= min_rows)
+        counts.join(total, F.col("_rows") >= F.col("_total") * share)
         .select(*keys, F.lit(True).alias("_hot"))
     )
 
@@ -24,17 +24,17 @@ def salted_lookup(
     lookup: DataFrame,
     keys: tuple[str, ...],
     spread: str,
-    min_rows: int = HOT_ROWS,
+    share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join of facts to a look-up table that is unique on ``keys``.
 
     Rows of hot keys are spread over ``salts`` partitions by a hash of the
     ``spread`` column, and only those keys are repeated on the look-up side.
-    Rows with a null key match nothing and are spread as well. The list of hot
-    keys is broadcast: at the default bound a trillion rows have 200,000 at most.
+    Rows with a null key match nothing and are spread as well. Hot keys are at
+    most 1 / share; whether they are broadcast is left to Spark's size check.
     """
-    hot = F.broadcast(hot_keys(facts, keys, min_rows))
+    hot = hot_keys(facts, keys, share)
     spread_out = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
     no_key = F.lit(False)
     for key in keys:

@@ -1,10 +1,10 @@
 """How many rows each stage of a batch keeps and drops, per source.
 
-Every optional filter looks only at values that follow from the de-duplication
-key, so all copies of a row pass or fail together. One aggregation per key (a
-digest stands in for the texts) then tells the whole story: its groups are the
-rows left after de-duplication, their sizes the rows before. Hot keys shrink to
-one row per task before the shuffle.
+One aggregation per de-duplication key (a digest stands in for the texts) tells
+the whole story: its groups are the rows left after de-duplication, their sizes
+the rows before, and what the filters say of a group is what they say of its
+first copy, as that is the one that stays. Hot keys shrink to one row per task
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -21,18 +21,21 @@ def stage_counts(
     owner: str,
     texts: tuple[str, ...],
     filters: dict[str, Column],
+    seq: str = "arrival_seq",
 ) -> DataFrame:
     """Per source: rows, copies removed, rows each filter drops in turn, rows left."""
-    flags = [F.coalesce(ok, F.lit(False)).alias(f"_ok_{name}") for name, ok in filters.items()]
+    flags = [F.coalesce(ok, F.lit(False)).alias(name) for name, ok in filters.items()]
     groups = (
-        cleaned.select(source, owner, text_digest(*map(F.col, texts)).alias("_digest"), *flags)
-        .groupBy(source, owner, "_digest", *[f"_ok_{name}" for name in filters])
-        .agg(F.count("*").alias("_copies"))
+        cleaned.select(
+            source, owner, seq, text_digest(*map(F.col, texts)).alias("_digest"), F.struct(*flags).alias("_ok")
+        )
+        .groupBy(source, owner, "_digest")
+        .agg(F.count("*").alias("_copies"), F.min_by("_ok", seq).alias("_ok"))
     )
     passed = F.lit(True)
     dropped = []
     for name in filters:
-        ok = F.col(f"_ok_{name}")
+        ok = F.col(f"_ok.{name}")
         dropped.append(F.count_if(passed & ~ok).alias(f"dropped_{name}"))
         passed = passed & ok
     return groups.groupBy(source).agg(

@@ -300,12 +300,10 @@ for _p, _typed in (("", "typed"), ("later_", "later_typed")):
           sha256('apple|' || userName) AS user_id FROM {_typed}""",
         _typed,
     )
-    # A null time drops out of the key together with its separator.
+    # Nulls count as empty in the key.
     cte(
         f"{_p}unchecked_reviews",
-        f"""SELECT * EXCLUDE (key_full), CASE WHEN timestamp IS NULL THEN sha256(app_id || '|' ||
-          userName || '|' || substring(trim(coalesce(review_text, '')), 1, 100))
-          ELSE key_full END AS review_key FROM {_p}unchecked""",
+        f"SELECT * RENAME (key_full AS review_key) FROM {_p}unchecked",
         f"{_p}unchecked",
     )
 cte(
@@ -325,10 +323,9 @@ cte(
     """SELECT lang, gram, n,
       CAST(round(ln((n + 1)::DOUBLE / mass) * 1000.0::DOUBLE) AS BIGINT) AS logp,
       CAST(round(ln(1.0::DOUBLE / mass) * 1000.0::DOUBLE) AS BIGINT) AS floor
-    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r
-      FROM gram_counts)
+    FROM gram_counts
     JOIN (SELECT lang, CAST(sum(n) + count(*) AS BIGINT) AS mass FROM gram_counts GROUP BY lang)
-      USING (lang) WHERE r <= 1000""",
+      USING (lang)""",
     "gram_counts",
 )
 cte(

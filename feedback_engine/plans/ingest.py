@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedback_engine.operators import upsert
 from feedback_engine.operators.integrity import check_communities
@@ -29,9 +30,11 @@ def store_reviews(
 ) -> DataFrame:
     """Upsert apps, users and reviews of one batch; returns the affected counts.
 
-    ``apps`` holds app_id, app_name and arrival_seq for the apps of the batch.
+    ``apps`` holds app_id, app_name and arrival_seq for the apps of the batch; those
+    of which no review survived are not stored.
     """
     batch = materialize(reviews, "reviews")
+    apps = apps.join(batch.select("app_id"), "app_id", "left_semi")
     keyed = batch.select(upsert.batch_review_key().alias("review_key"))
     stored = store.earlier("reviews", REVIEW_FEED, batch_id)
     counts = upsert.affected_rows(stored, keyed, "review_key")
@@ -46,15 +49,20 @@ def store_reviews(
     return counts
 
 
+def split_communities(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Posts of communities that have exactly one id, and the others for quarantine."""
+    refused = check_communities(posts).filter("is_valid = 0").select(F.col("name").alias("_name"))
+    name = F.lower("subreddit_name").eqNullSafe(F.col("_name"))
+    return posts.join(refused, name, "left_anti"), posts.join(refused, name, "left_semi")
+
+
 def store_posts(store: FeedbackStore, batch_id: int, posts: DataFrame) -> DataFrame:
     """Upsert communities, users and posts of one batch; returns the affected counts.
 
-    A batch in which a community has several ids, or a blank one, is refused.
+    Posts of a community that has several ids, or a blank one, are not stored;
+    ``split_communities`` tells which they are.
     """
-    batch = materialize(posts, "posts")
-    refused = check_communities(batch).filter("is_valid = 0").limit(20).collect()
-    if refused:
-        raise ValueError(f"communities without exactly one id: {[r['name'] for r in refused]}")
+    batch = materialize(split_communities(materialize(posts, "landed_posts"))[0], "posts")
     stored = store.earlier("posts", POST_FEED, batch_id)
     counts = upsert.affected_rows(stored, batch.select("post_id"), "post_id")
     store.write_batch(POST_FEED, batch_id, {

@@ -29,13 +29,14 @@ def build_session(app: str = "feedback_engine", master: str | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back on a temporary folder of its own: on a
-    cluster that folder would exist on the driver's machine alone.
+    Only a session that says it runs within one process (``local[...]``) gets a
+    temporary folder where none is named; any other must name one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="feedback_engine-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -45,3 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder name under the shared folder (never reused)."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folders(spark: SparkSession, *paths: str) -> None:
+    """Remove folders of intermediate results, on whatever file system they are."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,27 +30,47 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"):
-    """Landed files with a declared schema: parquet, ORC, or JSON lines."""
+class Landed(NamedTuple):
+    """What was landed: usable records, and lines that are none, with the reason."""
+
+    records: DataFrame
+    quarantined: DataFrame
+
+
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> Landed:
+    """Landed files with a declared schema: parquet, ORC, or JSON lines.
+
+    Only lines can be broken; the other formats have nothing in quarantine.
+    """
     if fmt == "json":
-        return split_corrupt(parse_json_lines(spark.read.text(path), schema))[0]
-    return spark.read.schema(schema).format(fmt).load(path)
+        return split_corrupt(parse_json_lines(spark.read.text(path), schema))
+    nothing = spark.createDataFrame([], f"{CORRUPT} string, reason string")
+    return Landed(spark.read.schema(schema).format(fmt).load(path), nothing)
 
 
 def parse_json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """One record per line of ``value``; a broken line is kept in its own column."""
+    """One record per line of ``value``; a line that is no record is kept in a column of its own.
+
+    That is a line that is blank, that does not parse, or that holds none of the
+    declared fields.
+    """
     parsed = F.from_json(
         "value",
         T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return lines.select(parsed.alias("record")).select("record.*")
+    records = lines.select("value", parsed.alias("record"))
+    fields = [F.col(f"record.{name}") for name in schema.fieldNames()]
+    empty = reduce(and_, [field.isNull() for field in fields])
+    kept = F.when(empty, F.col("value")).otherwise(F.col(f"record.{CORRUPT}"))
+    return records.select(*fields, kept.alias(CORRUPT))
 
 
-def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Usable records, and the broken lines for quarantine."""
+def split_corrupt(parsed: DataFrame) -> Landed:
+    """Usable records, and the other lines for quarantine: ``blank`` or ``broken``."""
     broken = F.col(CORRUPT).isNotNull()
-    return parsed.filter(~broken).drop(CORRUPT), parsed.filter(broken).select(CORRUPT)
+    reason = F.when(F.col(CORRUPT).rlike(r"\S"), "broken").otherwise("blank").alias("reason")
+    return Landed(parsed.filter(~broken).drop(CORRUPT), parsed.filter(broken).select(CORRUPT, reason))
 
 
 def scan_reviews(landed: DataFrame, on_missing: str = "raise") -> DataFrame:

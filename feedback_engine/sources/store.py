@@ -9,7 +9,11 @@ resolve what came later, and merges that into the compacted rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +36,11 @@ FEED, BATCH = "feed", "batch_id"
 BASE = "base"
 
 
+def _within(up_to: Mapping[str, int]) -> Column:
+    """Rows of the feeds named, up to the batch named with each."""
+    return reduce(or_, [(F.col(FEED) == f) & (F.col(BATCH) <= n) for f, n in up_to.items()], F.lit(False))
+
+
 class FeedbackStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -64,13 +73,13 @@ class FeedbackStore:
         own = (F.col(FEED) == feed) & (F.col(BATCH) >= batch_id)
         return self.log(table).filter(~own)
 
-    def read(self, table: str, up_to: int | None = None) -> DataFrame:
-        """One row per key, optionally of the batches up to one."""
+    def read(self, table: str, up_to: Mapping[str, int] | None = None) -> DataFrame:
+        """One row per key, optionally of each feed's batches up to one."""
         schema, key, overwrites = TABLES[table]
         log = self.log(table)
         recent = log.filter(F.col(FEED) != BASE)
         if up_to is not None:
-            recent = recent.filter(F.col(BATCH) <= up_to)
+            recent = recent.filter(_within(up_to))
         pick = latest_per_key if overwrites else first_per_key
         resolved = pick(recent, (key,), (BATCH, FEED)).select(*schema.fieldNames())
         base = log.filter(F.col(FEED) == BASE).select(*schema.fieldNames())
@@ -84,11 +93,26 @@ class FeedbackStore:
             aligned = align_schema(df, TABLES[name][0])
             aligned.write.mode("overwrite").parquet(self._folder(name, feed, batch_id))
 
-    def compact(self, new_root: str, up_to: int) -> FeedbackStore:
-        """Resolve all batches up to one into the base of a new store."""
-        compacted = FeedbackStore(self.spark, new_root).initialize()
-        compacted.write_batch(BASE, up_to, {name: self.read(name, up_to) for name in TABLES})
+    def compact(self, new_root: str, up_to: Mapping[str, int]) -> FeedbackStore:
+        """Resolve each feed's batches up to the one named into the base of a new store.
+
+        Later batches, and feeds that are not named, are carried over as they are.
+        The new root must not exist: a base holds one row per key.
+        """
+        compacted = FeedbackStore(self.spark, new_root)
+        if compacted.exists():
+            raise ValueError(f"{new_root} exists")
+        resolved = {name: self.read(name, up_to) for name in TABLES}
+        compacted.write_batch(BASE, max(0, *up_to.values()) if up_to else 0, resolved)
+        for name in TABLES:
+            later = self.log(name).filter((F.col(FEED) != BASE) & ~_within(up_to))
+            later.write.mode("append").partitionBy(FEED, BATCH).parquet(f"{compacted.root}/{name}")
         return compacted
 
+    def exists(self) -> bool:
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return folder.getFileSystem(conf).exists(folder)
+
     def _folder(self, table: str, feed: str, batch_id: int) -> str:
         return f"{self.root}/{table}/{FEED}={feed}/{BATCH}={batch_id}"

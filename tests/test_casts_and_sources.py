@@ -62,6 +62,12 @@ def test_review_key_is_plain_sha256(spark):
     assert got == hashlib.sha256(raw.encode()).hexdigest()
 
 
+def test_nulls_keep_their_place_in_review_keys(spark):
+    parts = [(None, "a", "b", "t"), ("a", "b", None, "t"), ("a", None, "b", "t"), ("a", "b", "t", None)]
+    rows = spark.createDataFrame(parts, "a string, u string, t string, r string")
+    assert rows.select(keys.review_key(*map(F.col, "autr"))).distinct().count() == len(parts)
+
+
 def test_missing_columns(spark):
     landed = spark.createDataFrame([], RAW_REVIEW).drop("title")
     with pytest.raises(ValueError, match="title"):
@@ -73,12 +79,13 @@ def test_missing_columns(spark):
 
 
 def test_json_lines_keep_good_records(spark, tmp_path):
-    (tmp_path / "f.json").write_text('{"arrival_seq":1,"rating":4,"review":"a"}\n{"arrival_seq":2,"ra\n')
+    (tmp_path / "f.json").write_text('{"arrival_seq":1,"rating":4,"review":"a"}\n{"arrival_seq":2,"ra\n\n  \n{}\nnull\n')
     parsed = landing.parse_json_lines(spark.read.text(str(tmp_path)), RAW_REVIEW)
     good, bad = landing.split_corrupt(parsed)
     assert [(r.arrival_seq, r.rating) for r in good.collect()] == [(1, "4")]
-    assert [r[0] for r in bad.collect()] == ['{"arrival_seq":2,"ra']
-    assert landing.read_landed(spark, str(tmp_path), RAW_REVIEW, "json").count() == 1
+    found = sorted((r.reason, r[0].strip()) for r in bad.collect())
+    assert found == [("blank", ""), ("blank", ""), ("broken", "null"), ("broken", '{"arrival_seq":2,"ra'), ("broken", "{}")]
+    assert landing.read_landed(spark, str(tmp_path), RAW_REVIEW, "json").records.count() == 1
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc"])
@@ -86,7 +93,7 @@ def test_columnar_landing(spark, tmp_path, fmt):
     path = str(tmp_path / fmt)
     rows = [(1, "a", "u", "5", "t", "2024-01-01", "text")]
     spark.createDataFrame(rows, RAW_REVIEW).write.format(fmt).save(path)
-    assert landing.read_landed(spark, path, RAW_REVIEW, fmt).count() == 1
+    assert landing.read_landed(spark, path, RAW_REVIEW, fmt).records.count() == 1
 
 
 def test_post_by_id_is_pushed_to_the_scan(spark, tmp_path):
@@ -94,7 +101,7 @@ def test_post_by_id_is_pushed_to_the_scan(spark, tmp_path):
 
     path = str(tmp_path / "posts")
     spark.createDataFrame([], RAW_POST).write.parquet(path)
-    plan = plan_of(landing.scan_post_by_id(landing.read_landed(spark, path, RAW_POST), "p1"))
+    plan = plan_of(landing.scan_post_by_id(landing.read_landed(spark, path, RAW_POST).records, "p1"))
     assert "EqualTo(id,p1)" in plan
 
 

@@ -68,7 +68,7 @@ def test_salted_lookup_equals_plain_join(spark):
     facts = hot_batch(spark).select("arrival_seq", F.nullif("userName", F.lit("u7")).alias("username"))
     users = facts.select("username").distinct().filter("username <> 'u8'").withColumn("uid", F.md5("username"))
     plain = facts.join(users, "username", "left").select("arrival_seq", "username", "uid")
-    salted = salted_lookup(facts, users, ("username",), "arrival_seq", min_rows=1000, salts=8)
+    salted = salted_lookup(facts, users, ("username",), "arrival_seq", share=0.2, salts=8)
     salted = salted.select("arrival_seq", "username", "uid")
     assert salted.count() == plain.count() == 20000
     assert salted.exceptAll(plain).count() == 0

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from feedback_engine import catalog
 from feedback_engine.fixtures import Inputs
-from feedback_engine.operators import columns, langid, upsert
+from feedback_engine.operators import columns, dedup, langid, stages, upsert
 from feedback_engine.plans import ingest, posts, reviews
 from feedback_engine.schemas import RAW_POST
 from feedback_engine.session import new_workspace
@@ -81,7 +81,7 @@ def test_log_equals_merge_and_compaction(inputs, spark, store):
     merged = rows(upsert.upsert(first, later, "review_key"))
     catalog.load_reviews(inputs, store)
     assert rows(store.read("reviews")) == merged
-    compacted = store.compact(new_workspace(spark, "compacted"), 1)
+    compacted = store.compact(new_workspace(spark, "compacted"), {"reviews": 1})
     assert rows(compacted.read("reviews")) == merged
     assert compacted.log("reviews").count() == len(merged)
     # A later batch merges into the compacted rows.
@@ -91,14 +91,50 @@ def test_log_equals_merge_and_compaction(inputs, spark, store):
     assert compacted.read("users").count() == store.read("users").count()
 
 
-def test_ambiguous_communities_are_refused(inputs, store):
+def test_compaction_keeps_later_batches(inputs, spark, store):
+    catalog.load_reviews(inputs, store)
+    catalog.load_posts(inputs, store)
+    whole = {table: rows(store.read(table)) for table in ("reviews", "posts", "users", "apps")}
+    compacted = store.compact(new_workspace(spark, "compacted"), {"reviews": 0})
+    assert {table: rows(compacted.read(table)) for table in whole} == whole
+    assert compacted.log("posts").filter("feed = 'base'").count() == 0
+    with pytest.raises(ValueError, match="exists"):
+        store.compact(compacted.root, {"reviews": 1})
+    # Compacting what was compacted before gives the same tables again.
+    twice = compacted.compact(new_workspace(spark, "compacted"), {"reviews": 1, "posts": 0})
+    assert {table: rows(twice.read(table)) for table in whole} == whole
+
+
+def test_ambiguous_communities_are_quarantined(inputs, store):
     batch = catalog.final_posts(inputs)
-    mixed = batch.withColumn("subreddit_id", F.concat(F.lit("t5_"), F.col("num_comments")))
-    with pytest.raises(ValueError, match="exactly one id"):
-        ingest.store_posts(store, 0, mixed)
-    ingest.store_posts(store, 0, batch)
-    assert store.read("posts").count() == batch.count()
-    assert store.read("communities").count() == 5
+    several = F.concat(F.lit("t5_"), F.col("num_comments"))
+    mixed = batch.withColumn(
+        "subreddit_id", F.when(F.col("subreddit_name") == "sub1", several)
+        .when(F.col("subreddit_name") == "sub2", F.lit("\t\u00a0")).otherwise(F.col("subreddit_id"))
+    )
+    good, bad = ingest.split_communities(mixed)
+    assert {r[0] for r in bad.select("subreddit_name").distinct().collect()} == {"sub1", "sub2"}
+    ingest.store_posts(store, 0, mixed)
+    assert store.read("posts").count() == good.count() == batch.count() - bad.count()
+    assert store.read("communities").count() == 3
+
+
+def test_apps_without_reviews_are_not_stored(inputs, store):
+    none = catalog.final_reviews(inputs).filter("false")
+    ingest.store_reviews(store, 0, none, catalog.app_names(inputs))
+    assert store.read("apps").count() == store.read("reviews").count() == 0
+
+
+def test_copies_in_two_languages_count_as_the_first(spark):
+    columns_ = "app_id string, userName string, review_text string, language string, arrival_seq long"
+    same = ("a", "u", "the very same text of a review")
+    copies = spark.createDataFrame([(*same, "de", 1), (*same, "en", 2)], columns_)
+    counts = stages.stage_counts(
+        copies, "app_id", "userName", ("review_text",), {"language": F.col("language") == "en"}
+    )
+    found = counts.first()
+    assert (found.rows_after_clean, found.duplicates_removed, found.dropped_language) == (2, 1, 1)
+    assert found.rows_final == dedup.dedup_reviews(copies).filter("language = 'en'").count() == 0
 
 
 def test_deleted_author_loses_the_user(inputs, store):
@@ -116,8 +152,7 @@ def test_language_profile_on_held_out_documents(spark):
     scored = held_out.select("lang", profile.detect(F.col("cleaned")).alias("found"))
     right, total = scored.agg(F.count_if(F.col("lang") == F.col("found")), F.count("found")).first()
     assert total > 400 and right / total > 0.95
-    assert profile.best("x" * 19) is None
-    assert profile.best("漢" * 40) is None
+    assert profile.best(["x" * 19, None, "漢" * 40]) == [None] * 3
     # The same profile used inside the pipeline.
     got = reviews.review_pipeline(Inputs(spark, SMALL).reviews(), profile)
     assert got.filter("language IS NOT NULL AND cleaned_length < 20").count() == 0
