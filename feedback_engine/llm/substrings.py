@@ -55,12 +55,16 @@ def sentences(text: str) -> list[tuple[int, int, bytes, int]]:
     return found
 
 
-def spans(text: str | None) -> list[tuple[int, int, int, int, int, int]]:
-    """(two halves of the hash, first and last sentence, start, end) of each run."""
+def spans(text: str | None) -> list[tuple[int, int, int, int, int, int, bool]]:
+    """(two halves of the hash, first and last sentence, start, end, again) of each run.
+
+    ``again`` says that the text has the same run before, clear of this one.
+    """
     if not text:
         return []
     units = sentences(text)
     made, last, words = [], -1, 0
+    ended: dict[int, int] = {}  # last sentence of the first run of each hash
     for first in range(len(units)):
         # Runs slide: the end only moves on, and what leaves at the front is taken off.
         while last + 1 < len(units) and (last - first + 1 < LEAST_SENTENCES or words < LEAST_WORDS):
@@ -69,15 +73,16 @@ def spans(text: str | None) -> list[tuple[int, int, int, int, int, int]]:
         if last - first + 1 < LEAST_SENTENCES or words < LEAST_WORDS:
             break
         run = b"\n".join(unit[2] for unit in units[first : last + 1])
-        high, low = divmod(xxhash.xxh3_128_intdigest(run), 1 << 64)
-        made.append((high, low, first, last, units[first][0], units[last][1]))
+        digest = xxhash.xxh3_128_intdigest(run)
+        again = first > ended.setdefault(digest, last)
+        made.append((*divmod(digest, 1 << 64), first, last, units[first][0], units[last][1], again))
         words -= units[first][3]
     return made
 
 
 def hashed_spans(docs: DataFrame) -> DataFrame:
-    """(high, low, doc_id, first, last, start, end) of every run in the whole texts of ``docs``."""
-    names = ["high", "low", "doc_id", "first", "last", "start", "end"]
+    """(high, low, doc_id, first, last, start, end, again) of every run in the whole texts of ``docs``."""
+    names = ["high", "low", "doc_id", "first", "last", "start", "end", "again"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,14 +92,16 @@ def hashed_spans(docs: DataFrame) -> DataFrame:
                 made += some
                 ids += [doc] * len(some)
             if made:
-                high, low, *places = zip(*made)
+                high, low, *places, again = zip(*made)
                 hashes = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (high, low)]
                 rest = [pa.array(x, pa.int32()) for x in places]
-                yield pa.RecordBatch.from_arrays([*hashes, pa.array(ids, kind), *rest], names=names)
+                yield pa.RecordBatch.from_arrays([*hashes, pa.array(ids, kind), *rest, pa.array(again)], names=names)
 
     chosen = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     kind = pa.int64()
-    return chosen.mapInArrow(run, "high long, low long, doc_id long, first int, last int, start int, end int")
+    return chosen.mapInArrow(
+        run, "high long, low long, doc_id long, first int, last int, start int, end int, again boolean"
+    )
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -108,11 +115,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     at; null, blank and short texts have no runs; an empty table has none.
     """
     runs = written(hashed_spans(docs), "sentence_spans")
-    firsts = runs.groupBy("high", "low").agg(
-        F.min(F.struct("doc_id", "first", "last")).alias("kept"), F.count(F.lit(1)).alias("n")
-    )
-    firsts = firsts.where("n > 1").select("high", "low", "kept")
-    later = runs.join(firsts, ["high", "low"]).where("doc_id <> kept.doc_id or first > kept.last")
+    firsts = runs.groupBy("high", "low").agg(F.min("doc_id").alias("kept"), F.count(F.lit(1)).alias("n"))
+    # Written, so that a run of very many documents can be split in the join.
+    firsts = written(firsts.where("n > 1").select("high", "low", "kept"), "repeated_spans")
+    later = runs.join(firsts, ["high", "low"]).where("doc_id <> kept or again")
     in_order = Window.partitionBy("doc_id").orderBy("first", "last")
     covered = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce(F.col("first") > covered + 1, F.lit(True)).cast("int")
@@ -121,7 +127,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         (F.max("last") - F.min("first") + 1).alias("n_sentences"),
-        F.sort_array(F.collect_set("kept.doc_id")).alias("first_doc_ids"),
+        F.sort_array(F.collect_set("kept")).alias("first_doc_ids"),
     ).drop("island")
 
 
