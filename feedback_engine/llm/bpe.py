@@ -23,11 +23,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedback_engine.llm.common import portions
+
 BLOCK = 256
 # How many different strings, and characters of them, a task remembers: bounds memory only.
-REMEMBERED, REMEMBERED_CHARS = 250_000, 8_000_000
+REMEMBERED, REMEMBERED_CHARS = 200_000, 6_000_000
 # Characters, or ids, that are worked on at once, if no single text holds more.
-PORTION = 2_500_000
+PORTION = 1_500_000
+# Positions in a bucket up to which they are merged one by one.
+FEW = 12
 
 
 class RankQueue:
@@ -75,7 +79,7 @@ class BytePairs:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.single = np.array([self.ranks.get(bytes([x]), -1) for x in range(256)], np.int32)
         # Every pair of tokens that makes a token, as left * size + right, and the rank it makes.
-        made = {
+        self.made = made = {
             self.ranks[token[:k]] * self.size + self.ranks[token[k:]]: rank
             for token, rank in self.ranks.items()
             for k in range(1, len(token))
@@ -108,12 +112,14 @@ class BytePairs:
         strings = [_strings(text, self.pieces) for text in texts]
         if len(self.known) > REMEMBERED or self.known_chars > REMEMBERED_CHARS:
             self.forget()
+        counts = np.fromiter(map(len, strings), np.int64, len(strings))
         flat = list(chain.from_iterable(strings))
+        del strings
         new = set(flat) - self.known.keys()
         if new:
             self._learn(list(new))
         chosen = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        counts = np.fromiter(map(len, strings), np.int64, len(strings))
+        del flat
         lengths = self.ends[chosen + 1] - self.ends[chosen]
         before = np.concatenate(([0], np.cumsum(lengths)))
         offsets = before[np.concatenate(([0], np.cumsum(counts)))]
@@ -136,6 +142,7 @@ class BytePairs:
         lengths = ends[chosen + 1] - ends[chosen]
         before = np.concatenate(([0], np.cumsum(lengths)))
         string_ends = before[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
+        del split, pieces, distinct
         start = len(self.known)
         self.known.update(zip(strings, range(start, start + len(strings))))
         self.known_chars += sum(map(len, strings))
@@ -177,6 +184,9 @@ class BytePairs:
                 queue.push(int(pair[some[0]]), some.tolist())
         while queue.top:
             rank, bucket = queue.pop()
+            if len(bucket) <= FEW:
+                self._merge_few(rank, sorted(set(bucket)), queue, token, alive, after, before, pair)
+                continue
             at = np.array(bucket)
             at = np.unique(at[pair[at] == rank])  # the others are stale
             if not len(at):
@@ -211,6 +221,35 @@ class BytePairs:
             for position, made in zip(changed[opens].tolist(), new[opens].tolist()):
                 push(made, [position])
 
+    def _merge_few(self, rank, positions, queue, token, alive, after, before, pair) -> None:
+        """The same for a bucket too small for numpy to pay, from the left, until a lower rank turns up."""
+        n, size, made = len(token), self.size, self.made
+        for k, i in enumerate(positions):
+            if pair[i] != rank:
+                continue
+            gone = after[i]
+            token[i] = rank
+            alive[gone] = False
+            pair[gone] = -1
+            end = after[i] = after[gone]
+            left, lowest = before[i], rank
+            pair[i] = -1
+            if end < n:
+                before[end] = i
+                pair[i] = new = made.get(rank * size + int(token[end]), -1)
+                if new >= 0:
+                    queue.push(new, [i])
+                    lowest = min(lowest, new)
+            if left >= 0:
+                pair[left] = new = made.get(int(token[left]) * size + rank, -1)
+                if new >= 0:
+                    queue.push(new, [int(left)])
+                    lowest = min(lowest, new)
+            if lowest < rank:
+                if positions[k + 1 :]:
+                    queue.push(rank, positions[k + 1 :])
+                return
+
     def _lower_beside(self, rank: int, token: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the token ``rank`` would make one of a lower rank with a neighbour, as that is or once merged alike."""
         lower = np.zeros(len(left), bool)
@@ -271,7 +310,7 @@ def encode(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = BytePairs(sent.value, pattern)
-        for some in _portions(batches, 1):
+        for some in portions(batches, 1, PORTION):
             ids, offsets = coder.encode(some.column(1).to_pylist())
             made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             columns, names = [some.column(0), made], [id_col, "ids"]
@@ -293,7 +332,7 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = BytePairs(sent.value, pattern)
-        for some in _portions(batches, 1):
+        for some in portions(batches, 1, PORTION):
             made = _decoded(coder, some.column(1))
             yield pa.RecordBatch.from_arrays([*some.columns, made], names=[*some.schema.names, "decoded"])
 
@@ -312,18 +351,6 @@ def _decoded(coder: BytePairs, ids: pa.ListArray) -> pa.Array:
     return pa.compute.if_else(ids.is_valid(), made, pa.scalar(None, pa.binary())) if ids.null_count else made
 
 
-def _portions(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows in which ``column`` holds about ``PORTION`` characters or numbers; a row is never cut."""
-    for batch in batches:
-        values = batch.column(column)
-        lengths = (values.value_lengths() if pa.types.is_list(values.type) else pa.compute.binary_length(values)).fill_null(0)
-        part = np.cumsum(lengths.to_numpy(zero_copy_only=False)) // PORTION
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for start, end in zip(cuts, cuts[1:]):
-            if end > start:
-                yield batch.slice(start, end - start)
-
-
 def _read(path: str) -> bytes:
     with open(path, "rb") as file:
         return file.read()

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,19 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+def portions(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows in which ``column`` holds about ``size`` bytes or numbers, so that tasks hold little; rows stay whole."""
+    for batch in batches:
+        values = batch.column(column)
+        lengths = values.value_lengths() if pa.types.is_list(values.type) else pa.compute.binary_length(values)
+        part = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False)) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                yield batch.slice(start, end - start)
+        pa.default_memory_pool().release_unused()
+
+
 def spanning_links(size: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(root, member) links that join the same of ``size`` nodes as the pairs given, one for each node not a root."""
     label = np.arange(size)

@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedback_engine.llm.common import remainder
+from feedback_engine.llm.common import portions, remainder
 
 MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
+# Bytes of text that a task works on at once, if no single text has more.
+PORTION = 2_000_000
 
 FEATURES = (
     "upper", "digit", "symbol", "mark", "bar", "stop", "comma", "wide", "blank", "line",
@@ -171,7 +173,7 @@ _MEASURED = "doc_id long, p int, u int, x array<float>"
 
 
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches, 3, PORTION):
         rows = features(batch.column(3).to_pylist())
         x = pa.array(list(rows), pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], x], names=["doc_id", "p", "u", "x"])
@@ -182,7 +184,7 @@ def scored(docs: DataFrame, model: Model, score_col: str = "score") -> DataFrame
     at, names = docs.columns.index("text"), [*docs.columns, score_col]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, at, PORTION):
             made = model.score(features(batch.column(at).cast(pa.string()).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=names)
 

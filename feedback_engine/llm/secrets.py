@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedback_engine.llm.common import written
+from feedback_engine.llm.common import portions, written
 
 # Fixed patterns and least lengths.
 ASSIGN = re.compile(
@@ -41,6 +41,8 @@ LENGTHS = (16, 20, 24, 32, 48)  # each range of length reaches to the next one
 BINS = 60  # of likeness, in steps of a fifth of its natural logarithm
 FALSE_DISCOVERIES = 0.01
 RANDOM = 3
+# Bytes of text that a task works on at once, if no single text has more.
+PORTION = 2_000_000
 
 # Parts of an alphabet: how many characters of it each has. Tried in this order.
 _ENCODINGS = [
@@ -127,7 +129,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     """(doc_id, base, tokens) of every row's whole text; a null text has neither."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 1, PORTION):
             base, other = [], []
             for value in batch.column(1):
                 text = value.as_py() or ""
@@ -210,7 +212,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     at, size = docs.columns.index("text"), docs.columns.index("n_chars")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, at, PORTION):
             texts, sizes = batch.column(at).to_pylist(), batch.column(size).to_pylist()
             for k, text in enumerate(texts):
                 if text and (spans := _all_spans(text, bins)):
