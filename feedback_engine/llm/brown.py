@@ -16,6 +16,7 @@ are summed in a tree, and only they reach the driver.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -282,8 +283,18 @@ def word_counts(chunks: DataFrame, class_of: np.ndarray) -> DataFrame:
 SCORED = "doc_id {}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scorer(class_of: np.ndarray, bigrams: np.ndarray, stats: np.ndarray, ends: int):
-    """Scores the rows of a chunk, given the counts of its words."""
+class Model(NamedTuple):
+    """Class transitions [before, class] (the last row is for what follows an unknown word) and emissions."""
+
+    follow: np.ndarray
+    emission: np.ndarray  # of a class: one over its tokens
+    unknown: np.ndarray  # of a class: its chance of an unknown word
+    discount: float  # taken off every known word's count
+    tokens: int
+    words: int
+
+
+def model_of(bigrams: np.ndarray, stats: np.ndarray, ends: int) -> Model:
     types, mass = stats[: CLASSES + 1].astype(float), stats[CLASSES + 1 : 2 * CLASSES + 2].astype(float)
     once, twice = stats[2 * CLASSES + 2 :]
     types[END], mass[END] = 0, ends
@@ -294,7 +305,12 @@ def _scorer(class_of: np.ndarray, bigrams: np.ndarray, stats: np.ndarray, ends:
     follow = (bigrams + PRIOR * share) / (bigrams.sum(axis=1, keepdims=True) + PRIOR)
     follow = np.vstack((follow, share))  # after an unknown word
     unknown = np.minimum(discount * types / np.maximum(mass, 1), 1.0)
-    emission = (1 / np.maximum(mass, 1)).astype(float)
+    return Model(follow, 1 / np.maximum(mass, 1), unknown, discount, n, v)
+
+
+def _scorer(class_of: np.ndarray, model_: Model, ends: int):
+    """Scores the rows of a chunk, given the counts of its words."""
+    follow, emission, unknown, discount, n, v = model_
     least = 1 / (n + v + 1) ** 2  # only if no word occurs once, so that nothing is set aside for unknown ones
     log_follow = np.log10(np.maximum(follow, least))
     log_unknown = np.log10(np.maximum(follow @ unknown, least))
@@ -335,7 +351,7 @@ def _scorer(class_of: np.ndarray, bigrams: np.ndarray, stats: np.ndarray, ends:
             }))
         return pa.concat_tables(out)
 
-    return score, n
+    return score
 
 
 def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -361,7 +377,8 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     counts = word_counts(chunks, class_of)
     stats = [F.sum(F.get("stats", F.lit(k))).alias(f"s{k}") for k in range(2 * CLASSES + 4)]
     totals = np.array([x or 0 for x in counts.where("stats is not null").agg(*stats).first()], np.int64)
-    score, n = _scorer(class_of, bigrams, totals, ends)
+    model = model_of(bigrams, totals, ends)
+    score = _scorer(class_of, model, ends)
     made = (
         chunks.select("chunk", "words", "ids", "held", "ends", "tokens")
         .groupBy("chunk")
@@ -370,6 +387,6 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
     return made.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score", perplexity.alias("perplexity"),
     )

@@ -228,10 +228,12 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     named = docs.join(kept, "doc_id", "left_semi").withColumn(CHOICE, F.row_number().over(in_order))
     fingerprint_of = F.pandas_udf(lambda texts: texts.map(fingerprint), "long")
     # Ids are rarely missing, and scans skip what has none, so this part is small.
-    roots = groups.where("doc_id is null and component is null").select("fp", "root").distinct()
+    roots = groups.where("doc_id is null and component is null").select(
+        F.col("fp").alias(f"{PRINT}_of"), F.col("root").alias(ROOT)
+    ).distinct()
     printed = docs.where("doc_id is null").withColumn(PRINT, fingerprint_of("text"))
-    of_group = Window.partitionBy("root").orderBy("text")
-    nameless = printed.join(roots, printed[PRINT] == roots["fp"]).withColumn(CHOICE, F.row_number().over(of_group))
+    of_group = Window.partitionBy(ROOT).orderBy("text")
+    nameless = printed.join(roots, F.col(PRINT) == F.col(f"{PRINT}_of")).withColumn(CHOICE, F.row_number().over(of_group))
     return (
         named.where(F.col(CHOICE) == 1)
         .select(*docs.columns)
@@ -240,4 +242,4 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 
 # Names that do not clash with those of any table of documents.
-CHOICE, PRINT = "__simhash_choice", "__simhash_print"
+CHOICE, PRINT, ROOT = "__simhash_choice", "__simhash_print", "__simhash_root"
