@@ -77,6 +77,8 @@ def near_pairs(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCK
     """
     if not 0 <= distance <= 3:
         raise ValueError("two halves serve distances up to 3")
+    if bucket < 8:  # fewer than four bits cannot be cut into four pieces
+        raise ValueError("a bucket must be allowed eight members")
     rows = map_batches(distinct.select("fp"), _variants, ROW)
     links: DataFrame | None = None
     while True:
