@@ -40,6 +40,7 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 LENGTHS = (16, 20, 24, 32, 48)  # each range of length reaches to the next one
 BINS = 60  # of likeness, in steps of a fifth of its natural logarithm
 FALSE_DISCOVERIES = 0.01
+LEAST_LIKENESS = 0.001  # a token less like a random key than this is none, however unlike words it is
 RANDOM = 3
 # Bytes of text that a task works on at once, if no single text has more.
 PORTION = 2_000_000
@@ -165,7 +166,7 @@ def limits(scan: DataFrame, false_discoveries: float = FALSE_DISCOVERIES) -> lis
         discovered = np.cumsum(tested)
         # The hypotheses are the tested tokens; ordinary ones are the sample that p-values refer to.
         passing = np.flatnonzero((discovered > 0) & (p * tested.sum() <= false_discoveries * discovered))
-        found.append(int(passing[-1]) + 1 if len(passing) else 0)
+        found.append(min(int(passing[-1]) + 1, _bin(LEAST_LIKENESS) + 1) if len(passing) else 0)
     return found
 
 
