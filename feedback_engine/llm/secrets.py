@@ -1,9 +1,9 @@
 """Secret scan: fixed patterns, and a battery of randomness tests on long tokens.
 
 Tokens of key-like characters are taken apart by the encoding they may be of.
-Three tests compare a token with what a random key of that encoding looks like:
-chi-squared for the use of the alphabet's parts, runs of characters of one part,
-and serial correlation of neighbouring characters. The probability that a random
+Tests compare a token with what a random key of that encoding looks like:
+chi-squared for the use of the alphabet's parts, runs of characters of one part
+or of one character, and serial correlation of neighbouring characters. The probability that a random
 key deviates as much in any of them is the token's likeness.
 
 What ordinary words look like is measured on the corpus itself: tokens of
@@ -79,6 +79,11 @@ def likeness(token: str) -> float:
     cubes = sum(share**3 for share in shares)
     variance = max((n - 1) * same * (1 - same) + 2 * (n - 2) * (cubes - same**2), 0.25)
     chances.append(erfc(abs(changes - (n - 1) * (1 - same)) / sqrt(2 * variance)))
+    # Runs of one character: neighbours that are equal are about Poisson.
+    rate, below, term = (n - 1) / sum(alphabet), 0.0, exp(-(n - 1) / sum(alphabet))
+    for k in range(sum(a == b for a, b in zip(body, body[1:]))):
+        below, term = below + term, term * rate / (k + 1)
+    chances.append(max(1 - below, 0.0))
     codes = np.frombuffer(body.encode(), np.uint8).astype(float)
     codes -= codes.mean()
     spread = float(codes @ codes)

@@ -421,7 +421,7 @@ def test_random_keys_are_told_from_words(spark):
     keys = [k for k in keys if any(map(str.isdigit, k))]
     syllables = ["lich", "keit", "ung", "heit", "ver", "ein", "ber", "tion", "ment", "ing"]
     words = ["".join(rng.choice(syllables, 8)) for _ in range(3000)]
-    rows = [(k, f"see {word} and {keys[k] if k < len(keys) else 'nothing'} there{' aaaaaaaaaaaaaaaaaaaaaaa1' * (k % 50 == 0)}") for k, word in enumerate(words)]
+    rows = [(k, f"see {word} and {keys[k] if k < len(keys) else 'nothing'} there{' zzzzzzzzzzzzzzzzzzzzzzz1' * (k % 50 == 0)}") for k, word in enumerate(words)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
     got = {r.doc_id: r.spans for r in secrets.report(docs).collect()}
     found = [k for k in range(len(keys)) if got[k].startswith("random:")]
