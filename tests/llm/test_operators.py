@@ -125,13 +125,13 @@ def fold(doc, modulus):
 
 
 def test_brown_scores(spark, odd, none):
-    docs = table(spark, MIDDLE, "documents")
+    docs = table(spark, SMALL, "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     words = {doc: re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower()) for doc, text in rows}
     learned = [doc for doc in words if fold(doc, 7) != 2]
     counts = Counter(w for doc in learned for w in words[doc])
     n, v = counts.total() + len(learned), len(counts) + 1
-    got = {r.doc_id: r for r in brown.scores(docs).collect()}
+    got = {r.doc_id: r for r in brown.scores(docs, rounds=2).collect()}
     assert set(got) == set(words)
     for doc, some in words.items():
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in some) + math.log10((len(learned) + 1) / (n + v + 1))
@@ -142,10 +142,10 @@ def test_brown_scores(spark, odd, none):
         assert abs(r.base_score - base) < 1e-6 * len(some) + 1e-9
     held = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
-    odd_scores = brown.scores(odd).collect()
+    odd_scores = brown.scores(odd, rounds=1).collect()
     assert len(odd_scores) == odd.count()
     assert all(r.score <= 0 and math.isfinite(r.score) for r in odd_scores)
-    assert brown.scores(none).count() == 0
+    assert brown.scores(none, rounds=0).count() == 0
 
 
 def test_brown_probabilities_add_up():
