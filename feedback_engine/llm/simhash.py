@@ -15,7 +15,7 @@ as it takes. No link is lost by that.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -224,11 +224,16 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     stays. A row without an id goes if its group has a row with one; of a group
     without any id, one row stays.
     """
-    groups = written(simhash_groups(docs), "simhash_groups")
+    return keep_first(docs, simhash_groups(docs), fingerprint)
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, print_of: Callable[[str | None], int]) -> DataFrame:
+    """The rows that ``near_dedup`` keeps of ``groups``, whose ``fp`` is ``print_of`` the text."""
+    groups = written(groups, "near_groups")
     kept = groups.where("doc_id = component").select("doc_id").distinct()
     in_order = Window.partitionBy("doc_id").orderBy("text")
     named = docs.join(kept, "doc_id", "left_semi").withColumn(CHOICE, F.row_number().over(in_order))
-    fingerprint_of = F.pandas_udf(lambda texts: texts.map(fingerprint), "long")
+    fingerprint_of = F.pandas_udf(lambda texts: texts.map(print_of), "long")
     # Ids are rarely missing, and scans skip what has none, so this part is small.
     roots = groups.where("doc_id is null and component is null").select(
         F.col("fp").alias(f"{PRINT}_of"), F.col("root").alias(ROOT)
