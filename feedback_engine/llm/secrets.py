@@ -6,11 +6,13 @@ chi-squared for the use of the alphabet's parts, runs of characters of one part
 or of one character, and serial correlation of neighbouring characters. The probability that a random
 key deviates as much in any of them is the token's likeness.
 
-What ordinary words look like is measured on the corpus itself: tokens of
-letters alone, in one case or capitalised, of the same range of length. The
-share of them that is at least as key-like is a token's p-value against the
-hypothesis that it is ordinary, and the step-up procedure of Benjamini and
-Hochberg, over all tokens of that range of length, decides which are secrets.
+What ordinary tokens look like is a model of neighbouring characters, counted on
+the corpus itself: its short tokens and its words. A token's p-value is the
+ratio of its chance under that model to its chance as a random key: over the
+tokens of a length that the model makes, the inverse ratio is one on average, so
+(Markov's inequality) the p-value is valid however few tokens there are. The
+step-up procedure of Benjamini and Hochberg, over all tokens of a range of
+length, decides which are secrets.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 LENGTHS = (16, 20, 24, 32, 48)  # each range of length reaches to the next one
-BINS = 60  # of likeness, in steps of a fifth of its natural logarithm
+BINS = 100  # of p-values, in steps of their natural logarithm
 FALSE_DISCOVERIES = 0.01
 LEAST_LIKENESS = 0.001  # a token less like a random key than this is none, however unlike words it is
 RANDOM = 3
@@ -92,9 +94,100 @@ def likeness(token: str) -> float:
     return min(1.0, len(chances) * min(chances))
 
 
-def _bin(chance: float) -> int:
-    """Bin of a likeness; bin 0 is the most key-like."""
-    return min(BINS - 1, int(-5 * log(max(chance, 1e-300))))
+# Characters of tokens by number; all others count as EDGE.
+_KEY = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-="
+EDGE = len(_KEY)
+_CODE = np.full(256, EDGE, np.int64)
+_CODE[np.frombuffer(_KEY.encode(), np.uint8)] = np.arange(EDGE)
+# Weight, in characters, of single characters against pairs.
+BACKOFF = 20
+# Chance that a word of a name like theseWords or these_words ends at a character.
+JOINT = 0.1
+
+
+def _codes(text: str) -> np.ndarray:
+    """Number of each code point."""
+    return _CODE[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
+
+
+def pairs(text: str) -> np.ndarray:
+    """Counts of neighbouring characters in tokens that are short or words, clear of the fixed patterns."""
+    codes, base = _codes(text), base_spans(text)
+    for start, end, _ in base:
+        codes[start:end] = EDGE
+    for m in TOKEN.finditer(text):
+        if not _ORDINARY.match(m[0]):
+            codes[m.start() : m.end()] = EDGE
+    codes = np.concatenate(([EDGE], codes))
+    kept = codes[1:] != EDGE
+    return np.bincount(codes[:-1][kept] * EDGE + codes[1:][kept], minlength=(EDGE + 1) * EDGE).reshape(EDGE + 1, EDGE)
+
+
+def model(docs: DataFrame) -> np.ndarray:
+    """Counts of neighbouring characters over all texts: a table of fixed size, all that comes to the driver."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((EDGE + 1) * EDGE, np.int64)
+        for batch in portions(batches, 0, PORTION):
+            for value in batch.column(0):
+                if text := value.as_py():
+                    counts += pairs(text).ravel()
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["k", "n"])
+
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "k long, n long")
+    counts = np.zeros((EDGE + 1) * EDGE)
+    for row in counted.groupBy("k").agg(F.sum("n").alias("n")).collect():
+        counts[row["k"]] = row["n"]
+    return counts.reshape(EDGE + 1, EDGE)
+
+
+def evidence(token: str, counts: np.ndarray) -> float:
+    """Minus the logarithm of a token's p-value.
+
+    What a word itself adds to ``counts`` is taken off; other long tokens are not in them.
+    """
+    codes, body = _codes(token), len(token.rstrip("="))
+    before, after = np.concatenate(([EDGE], codes[:-1])), codes
+    pair, rows, single, total = counts[before, after], counts.sum(1)[before], counts.sum(0)[after], counts.sum()
+    if _ORDINARY.match(token):
+        pair = np.maximum(pair - _own(before * EDGE + after), 0)
+        rows = np.maximum(rows - _own(before), 0)
+        single = np.maximum(single - _own(after), 0)
+        total = max(total - len(codes), 0)
+    plain = _log_chance(pair, rows, single, total)[:body].sum()  # padding has no choice
+    ordinary = np.logaddexp(plain, _joined(codes[:body], counts)) - log(2)
+    size = next(sum(alphabet) for pattern, alphabet in _ENCODINGS if pattern.match(token))
+    # A key is of any of the encodings.
+    return float(-ordinary - body * log(size) - log(len(_ENCODINGS)))
+
+
+def _log_chance(pair: np.ndarray, rows: np.ndarray, single: np.ndarray, total: float) -> np.ndarray:
+    return np.log((pair + BACKOFF * (single + 1) / (total + EDGE)) / (rows + BACKOFF))
+
+
+def _joined(codes: np.ndarray, counts: np.ndarray) -> float:
+    """Logarithm of the chance of a name of joined words: a capital or a sign begins a word."""
+    capital, sign = (codes >= 36) & (codes < 62), codes >= 62
+    opens = capital & ~np.concatenate(([False], capital[:-1]))
+    after = np.where(opens, codes - 26, codes)
+    before = np.concatenate(([EDGE], after[:-1]))
+    before[opens | np.concatenate(([True], sign[:-1]))] = EDGE
+    chance = _log_chance(counts[before, after], counts.sum(1)[before], counts.sum(0)[after], counts.sum())
+    chance = np.where(sign, log(JOINT / 4), chance + np.where(opens, log(JOINT), log(1 - 2 * JOINT)))
+    return float(chance.sum())
+
+
+def _own(keys: np.ndarray) -> np.ndarray:
+    """How often each of ``keys`` occurs among them."""
+    _, at, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    return counts[at]
+
+
+def _bin(token: str, counts: np.ndarray) -> int:
+    """Bin of a token's p-value; the last ones are the smallest p-values, and bin 0 is never a secret."""
+    found = evidence(token, counts)
+    return 0 if found < 1 or likeness(token) < LEAST_LIKENESS else min(BINS - 1, int(found))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -109,29 +202,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
-def tokens(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, bool]]:
-    """(start, end, range of length, bin, ordinary) of the tokens that lie clear of the spans ``taken``."""
+def tokens(text: str, taken: list[tuple[int, int, int]], counts: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(start, end, range of length, bin) of the tokens that lie clear of the spans ``taken``."""
     found = []
     for m in TOKEN.finditer(text):
         start, end = m.span()
         if any(a < end and start < b for a, b, _ in taken):
             continue
-        token = m[0]
-        ordinary = bool(_ORDINARY.match(token))
-        if not ordinary and not (any(map(str.isdigit, token)) and any(map(str.isalpha, token))):
-            continue  # numbers, rules, and words joined by hyphens or slashes
         length = sum(end - start >= least for least in LENGTHS) - 1
-        found.append((start, end, length, _bin(likeness(token)), ordinary))
+        found.append((start, end, length, _bin(m[0], counts)))
     return found
 
 
 _SCANNED = (
     "doc_id {}, base array<struct<start:int,end:int,kind:int>>, "
-    "tokens array<struct<start:int,end:int,length:int,bin:int,ordinary:boolean>>"
+    "tokens array<struct<start:int,end:int,length:int,bin:int>>"
 )
 
 
-def scanned(docs: DataFrame) -> DataFrame:
+def scanned(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """(doc_id, base, tokens) of every row's whole text; a null text has neither."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,11 +230,11 @@ def scanned(docs: DataFrame) -> DataFrame:
                 text = value.as_py() or ""
                 spans = base_spans(text)
                 base.append([dict(zip(("start", "end", "kind"), x)) for x in spans])
-                names = ("start", "end", "length", "bin", "ordinary")
-                other.append([dict(zip(names, x)) for x in tokens(text, spans)])
+                names = ("start", "end", "length", "bin")
+                other.append([dict(zip(names, x)) for x in tokens(text, spans, counts)])
             i = pa.int32()
             span = pa.list_(pa.struct([("start", i), ("end", i), ("kind", i)]))
-            token = pa.list_(pa.struct([("start", i), ("end", i), ("length", i), ("bin", i), ("ordinary", pa.bool_())]))
+            token = pa.list_(pa.struct([("start", i), ("end", i), ("length", i), ("bin", i)]))
             columns = [batch.column(0), pa.array(base, span), pa.array(other, token)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "base", "tokens"])
 
@@ -154,30 +243,27 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def limits(scan: DataFrame, false_discoveries: float = FALSE_DISCOVERIES) -> list[int]:
-    """For each range of length, the number of bins, from the most key-like, whose tokens are secrets.
+    """For each range of length, the bin from which on tokens are secrets; ``BINS`` if none is.
 
-    Counts of all tokens by range, bin and kind come to the driver: at most
-    ``len(LENGTHS) * BINS * 2`` rows. A p-value is (1 + ordinary tokens that are
-    as key-like) / (1 + ordinary tokens), so without enough ordinary tokens
-    nothing is called a secret.
+    Counts of all tokens by range and bin come to the driver: at most
+    ``len(LENGTHS) * BINS`` rows. A bin stands for the largest p-value in it.
     """
-    counted = scan.select(F.explode("tokens").alias("t")).groupBy("t.length", "t.bin", "t.ordinary").count().collect()
-    table = np.zeros((2, len(LENGTHS), BINS))
+    counted = scan.select(F.explode("tokens").alias("t")).groupBy("t.length", "t.bin").count().collect()
+    table = np.zeros((len(LENGTHS), BINS))
     for row in counted:
-        table[int(row["ordinary"]), row["length"], row["bin"]] = row["count"]
+        table[row["length"], row["bin"]] = row["count"]
+    p = np.exp(-np.arange(float(BINS)))
     found = []
-    for tested, ordinary in zip(*table):
-        p = (1 + np.cumsum(ordinary)) / (1 + ordinary.sum())
-        discovered = np.cumsum(tested)
-        # The hypotheses are the tested tokens; ordinary ones are the sample that p-values refer to.
+    for tested in table:
+        discovered = np.cumsum(tested[::-1])[::-1]
         passing = np.flatnonzero((discovered > 0) & (p * tested.sum() <= false_discoveries * discovered))
-        found.append(min(int(passing[-1]) + 1, _bin(LEAST_LIKENESS) + 1) if len(passing) else 0)
+        found.append(int(passing[0]) if len(passing) else BINS)
     return found
 
 
 def _secret(bins: list[int]) -> str:
-    which = " or ".join(f"(t.length = {k} and t.bin < {bins[k]})" for k in range(len(bins)))
-    return f"filter(tokens, t -> not t.ordinary and ({which}))"
+    which = " or ".join(f"(t.length = {k} and t.bin >= {bins[k]})" for k in range(len(bins)))
+    return f"filter(tokens, t -> {which})"
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
@@ -186,7 +272,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
     ``spans`` has the base spans and those the tests add. Rows without an id and
     repeated rows are scanned like any other; null and empty texts have none.
     """
-    scan = written(scanned(docs), "secret_scan")
+    scan = written(scanned(docs, model(docs)), "secret_scan")
     added = f"transform({_secret(limits(scan))}, t -> named_struct('start', t.start, 'end', t.end, 'kind', {RANDOM}))"
     in_order = "case when a.start < b.start or (a.start = b.start and a.kind < b.kind) then -1 else 1 end"
     spans = F.expr(f"array_sort(concat(base, {added}), (a, b) -> {in_order})")
@@ -214,14 +300,15 @@ MARK = "[secret]"
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with ``MARK`` in place of every secret, and ``n_chars`` of the new text."""
-    bins = limits(scanned(docs))
+    counts = model(docs)
+    bins = limits(scanned(docs, counts))
     at, size = docs.columns.index("text"), docs.columns.index("n_chars")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, at, PORTION):
             texts, sizes = batch.column(at).to_pylist(), batch.column(size).to_pylist()
             for k, text in enumerate(texts):
-                if text and (spans := _all_spans(text, bins)):
+                if text and (spans := _all_spans(text, bins, counts)):
                     texts[k] = _replaced(text, spans)
                     sizes[k] = len(texts[k])
             columns = list(batch.columns)
@@ -231,9 +318,9 @@ def redacted(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def _all_spans(text: str, bins: list[int]) -> list[tuple[int, int, int]]:
+def _all_spans(text: str, bins: list[int], counts: np.ndarray) -> list[tuple[int, int, int]]:
     base = base_spans(text)
-    added = [(a, b, RANDOM) for a, b, length, bin_, ordinary in tokens(text, base) if not ordinary and bin_ < bins[length]]
+    added = [(a, b, RANDOM) for a, b, length, bin_ in tokens(text, base, counts) if bin_ >= bins[length]]
     return sorted(base + added)
 
 
