@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,17 @@ APP_NAME_PREFIX = "AppId_"
 
 _NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 _HAS_DATE = r"^\s*\d{4}-\d"
+_WEEKDAY = r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,\s*"
+_ZONES = {
+    "UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600",
+    "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+_TIME = "[ h:mm[:ss] a][ H:mm[:ss]]"
+_OTHER_FORMATS = (f"yyyy/M/d{_TIME}", "yyyyMMdd", *(f"{day}{_TIME}" for day in ("MMM d, yyyy", "MMMM d, yyyy")),
+                  *(f"d {month} yyyy{rest}" for month in ("MMM", "MMMM") for rest in (" H:mm[:ss] Z", _TIME)))
+# What parse_timestamp_utc tries after ISO, in order. They differ in which of 01/05/2024 is the month.
+MONTH_FIRST = (f"M/d/yyyy{_TIME}", *_OTHER_FORMATS)
+DAY_FIRST = (f"d/M/yyyy{_TIME}", *_OTHER_FORMATS)
 _UNICODE_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
@@ -36,14 +49,19 @@ def cast_rating(rating: Column) -> Column:
     return number.try_cast("double").try_cast("int")
 
 
-def parse_timestamp_utc(text: Column) -> Column:
-    """ISO-like text to a timestamp, whole seconds; anything else is null.
+def parse_timestamp_utc(text: Column, formats: Sequence[str] = MONTH_FIRST) -> Column:
+    """ISO-like text, or else text of the first of ``formats`` that fits, to a timestamp in whole seconds; anything else is null.
 
-    Offsets are honoured, and text without one is UTC (the session zone).
+    Offsets are honoured, and text without one is UTC (the session zone). The
+    day's name before a date says nothing new and is not looked at.
     Time-only text is refused: Spark would fill in today's date.
     """
     dated = F.when(text.rlike(_HAS_DATE), F.trim(text))
-    return F.date_trunc("second", dated.try_cast("timestamp"))
+    plain = F.regexp_replace(F.trim(text), _WEEKDAY, "")
+    for name, offset in _ZONES.items():
+        plain = F.regexp_replace(plain, rf"(?<=:\d\d )(?i:{name})$", offset)
+    others = [F.try_to_timestamp(plain, F.lit(format)) for format in formats]
+    return F.date_trunc("second", F.coalesce(dated.try_cast("timestamp"), *others))
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:

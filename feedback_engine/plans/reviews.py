@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedback_engine.functions.casts import MONTH_FIRST
 from feedback_engine.operators import filters, stages
 from feedback_engine.operators.dedup import bounded_fetch, dedup_reviews
 from feedback_engine.operators.langid import LanguageProfile
@@ -14,13 +17,13 @@ from feedback_engine.sources.landing import scan_reviews, typed_reviews
 Language = Column | LanguageProfile | None
 
 
-def clean_reviews(landed: DataFrame, language: Language = None, count: int | None = None):
-    """Cast, drop unusable rows, clean and score; ``count`` bounds rows per app."""
+def clean_reviews(landed: DataFrame, language: Language = None, count: int | None = None, dates: Sequence[str] = MONTH_FIRST):
+    """Cast, drop unusable rows, clean and score; ``count`` bounds rows per app, ``dates`` are forms beside ISO."""
     reviews = scan_reviews(landed)
     if count is not None:
         reviews = bounded_fetch(reviews, "app_id", count)
     return (
-        typed_reviews(reviews)
+        typed_reviews(reviews, dates)
         .transform(filters.filter_required)
         .transform(filters.filter_rating_range)
         .transform(attach_quality, "review_text", ("title",), language)
@@ -29,10 +32,14 @@ def clean_reviews(landed: DataFrame, language: Language = None, count: int | Non
 
 
 def review_pipeline(
-    landed: DataFrame, language: Language = None, count: int | None = None, **options
+    landed: DataFrame,
+    language: Language = None,
+    count: int | None = None,
+    dates: Sequence[str] = MONTH_FIRST,
+    **options,
 ) -> DataFrame:
     """Cleaned, de-duplicated and filtered reviews."""
-    return select_reviews(clean_reviews(landed, language, count), **options)
+    return select_reviews(clean_reviews(landed, language, count, dates), **options)
 
 
 def select_reviews(cleaned: DataFrame, **options) -> DataFrame:

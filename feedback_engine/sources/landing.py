@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
@@ -87,13 +88,13 @@ def scan_reviews(landed: DataFrame, on_missing: str = "raise") -> DataFrame:
     return landed.withColumnsRenamed({"date": "timestamp", "review": "review_text"})
 
 
-def typed_reviews(reviews: DataFrame) -> DataFrame:
-    """Names, ratings and times cast; nothing dropped yet."""
+def typed_reviews(reviews: DataFrame, dates: Sequence[str] = casts.MONTH_FIRST) -> DataFrame:
+    """Names, ratings and times cast; nothing dropped yet. ``dates`` are the forms of dates beside ISO."""
     return reviews.withColumns({
         "userName": casts.review_author(F.col("userName")),
         "rating": casts.cast_rating(F.col("rating")),
         "title": casts.empty_if_null(F.col("title")),
-        "timestamp": casts.parse_timestamp_utc(F.col("timestamp")),
+        "timestamp": casts.parse_timestamp_utc(F.col("timestamp"), dates),
     })
 
 
