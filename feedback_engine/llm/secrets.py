@@ -156,7 +156,9 @@ def evidence(token: str, counts: np.ndarray) -> float:
         single = np.maximum(single - _own(after), 0)
         total = max(total - len(codes), 0)
     plain = _log_chance(pair, rows, single, total)[:body].sum()  # padding has no choice
-    ordinary = np.logaddexp(plain, _joined(codes[:body], counts)) - log(2)
+    # Any digits make an ordinary number, however rare numbers are in the corpus.
+    number = -body * log(10) if token.isdigit() else -np.inf
+    ordinary = np.logaddexp(np.logaddexp(plain, _joined(codes[:body], counts)), number) - log(3)
     size = next(sum(alphabet) for pattern, alphabet in _ENCODINGS if pattern.match(token))
     # A key is of any of the encodings.
     return float(-ordinary - body * log(size) - log(len(_ENCODINGS)))
