@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.llm import bpe, brown, descent, langid, mixing, puclass, secrets, simhash, substrings, vectors
+from feedback_engine.llm import bpe, brown, crosstok, descent, langid, mixing, puclass, secrets, simhash, substrings, vectors
 from feedback_engine.llm.common import table
 
 
@@ -59,8 +59,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_predictions(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero tokens have the digest ''; columns as ``crosstok.aligned`` has them, the groups as their SHA-256."""
+    byte_level, pieces = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    made = crosstok.aligned(table(spark, sf_dir, "documents"), byte_level, pieces, digest=True)
+    return made.withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_brown_lm, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op6_nn_descent, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language]
+    found = [op1_simhash, op2_brown_lm, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op6_nn_descent, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language, op11_cross_tokenizer]
     return {query.__name__: query for query in found}
 
 
