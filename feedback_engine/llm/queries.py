@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.llm import bpe, brown, crosstok, descent, langid, mixing, puclass, secrets, simhash, substrings, vectors, whitening
+from feedback_engine.llm import bpe, brown, crosstok, descent, langid, mixing, puclass, secrets, simhash, substrings, toxicity, vectors, whitening
 from feedback_engine.llm.common import table
 
 
@@ -70,8 +70,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_brown_lm, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op6_nn_descent, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language, op11_cross_tokenizer, op12_whitening]
+    found = [op1_simhash, op2_brown_lm, op3_byte_bpe, op4_sentence_spans, op5_vector_near_dedup, op6_nn_descent, op7_pu_quality, op8_source_mixing, op9_secret_scan, op10_language, op11_cross_tokenizer, op12_whitening, op13_toxicity]
     return {query.__name__: query for query in found}
 
 
