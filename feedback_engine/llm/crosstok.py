@@ -17,7 +17,7 @@ again, have no tokens: zeros and an empty string. Repeated rows, rows that
 repeat an id and rows without an id come back like any other and count each.
 An empty table gives no rows. Columns other than id and text are not read. A
 text of any length is encoded in pieces cut where neither tokenizer can have a
-token across, so a task holds little of it at once besides its ids.
+token across.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,28 +38,20 @@ from pyspark.sql import functions as F
 from feedback_engine.llm.common import portions, written
 
 # Bytes of text that are aligned at once, if no single text has more.
-PORTION = 500_000
+PORTION = 1_500_000
 # Bytes of text whose counts are put together before they leave the task.
 CHUNK = 8_000_000
-# Characters after which a text is cut at the next place where that changes no token.
-PIECE = 20_000
-# A space between ASCII letters: A starts a pre-token there, and no entry of B has a space inside.
-_SEAM = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+# A space with neither white space nor B's sign for it beside: A starts a pre-token there, and no entry of B has a space
+# inside. So texts are cut at each, the space left out, and every different piece is encoded once a portion.
+_SEAM = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+# Texts without any of these have no other spaces.
+_OTHER_SPACE = re.compile(r"\s\s|\A | \Z|▁")
 # An id pair as one number: A's id times this, and B's id.
 SHIFT = 1 << 32
 
 
 def _pieces(text: str) -> list[str]:
-    """The text cut at some single spaces, which are left out."""
-    found, start = [], 0
-    while len(text) - start > PIECE:
-        seam = _SEAM.search(text, start + PIECE)
-        if not seam:
-            break
-        found.append(text[start : seam.start()])
-        start = seam.end()
-    found.append(text[start:])
-    return found
+    return _SEAM.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
 
 
 class Tokenizers:
@@ -87,11 +80,18 @@ class Tokenizers:
     def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """The id lists of A over a space and the text, and of B over the text."""
         cut = [_pieces(text) if text else [] for text in texts]
-        flat = [piece for some in cut for piece in some]
-        last = np.cumsum([0, *map(len, cut)])
-        a = [e.ids for e in self.a.encode_batch([" " + piece for piece in flat], add_special_tokens=False)]
-        b = self.b.encode(flat, num_threads=1) if flat else []
-        return _lists(a, last), _lists(b, last)
+        pieces = pa.array(chain.from_iterable(cut), pa.string()).dictionary_encode()
+        last = pa.array(np.cumsum([0, *map(len, cut)]))
+        different = pieces.dictionary.to_pylist()
+        # Without offsets, which are not used.
+        a = [e.ids for e in self.a.encode_batch_fast([" " + piece for piece in different], add_special_tokens=False)]
+        b = self.b.encode(different, num_threads=1) if different else []
+
+        def whole(ids: list[list[int]]) -> pa.ListArray:
+            of_pieces = pa.array(ids, pa.list_(pa.int32())).take(pieces.indices)
+            return pa.ListArray.from_arrays(of_pieces.offsets.take(last), of_pieces.flatten())
+
+        return whole(a), whole(b)
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -101,13 +101,6 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-def _lists(ids: list[list[int]], last: np.ndarray) -> pa.ListArray:
-    """The ids of pieces as one list for each text; ``last`` counts pieces up to each text."""
-    ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-    flat = np.fromiter((i for some in ids for i in some), np.int32, int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends[last], pa.int32()), pa.array(flat))
-
-
 def _spelled(ids: pa.ListArray, entry_bytes: pa.Array) -> pa.Array:
     """The joined bytes of each list of ids."""
     data = pc.take(entry_bytes, ids.flatten())

@@ -54,6 +54,8 @@ LEET = {
     "х": "x", "ѕ": "s", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u",
 }
 
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in LEET)
+
 # Costs of the channel, as negative logarithms.
 SWAP = 1.5  # a letter written as another character
 PLAIN_INSIDE, PLAIN_AT_EDGE = 2.0, 0.1  # such a character meant as itself
@@ -70,7 +72,6 @@ _SPACER = "\ue000"
 # Lengths of the stems of longer words.
 STEMS = range(4, 10)
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]{1,2}){2,}\S(?!\S)")
-_PLAIN = re.compile(r"[a-z]+")
 _TWICE = re.compile(r"(.)\1")
 
 
@@ -164,9 +165,12 @@ class Decoder:
         """The words that a token of lower case stands for, separated by single spaces."""
         found = self.known.get(token)
         if found is None:
-            found = token
-            if not _PLAIN.fullmatch(token) or _TWICE.search(token):
-                found = self._viterbi(folded(token))
+            # Marks at an end that are written for no letter only end the word.
+            core = token.strip(_MARKS)
+            found = core if core.isascii() else folded(core)
+            # Letters, none twice in a row and none written for another, stand for themselves alone.
+            if not found.isalpha() or _TWICE.search(found) or not (found.isascii() or LEET.keys().isdisjoint(found)):
+                found = self._viterbi(found)
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[token] = found
@@ -212,11 +216,28 @@ def features(word: str) -> list[str]:
 
 
 def lattice(token: str) -> Iterator[list[tuple[str, tuple[int, ...], float]]]:
-    """For each run of equal characters of a folded token, the (text, symbols, channel cost) it may stand for."""
+    """For each run of equal characters of a folded token, the (text, symbols, channel cost) it may stand for.
+
+    Runs that stand for one thing only are put together.
+    """
     runs = [(c, len(list(run))) for c, run in groupby(token)]
+    fixed: list[tuple[str, tuple[int, ...], float]] = []
     for k, (c, n) in enumerate(runs):
-        inside = 0 < k < len(runs) - 1
-        yield _options(c, n, inside)
+        options = _options(c, n, 0 < k < len(runs) - 1)
+        if len(options) == 1:
+            fixed += options
+            continue
+        if fixed:
+            yield _together(fixed)
+            fixed = []
+        yield options
+    if fixed:
+        yield _together(fixed)
+
+
+def _together(fixed: list[tuple[str, tuple[int, ...], float]]) -> list[tuple[str, tuple[int, ...], float]]:
+    texts, symbols, costs = zip(*fixed)
+    return [("".join(texts), tuple(s for some in symbols for s in some), sum(costs))]
 
 
 @lru_cache(maxsize=4096)
@@ -320,8 +341,9 @@ def learn(
 
     sample = one.select((F.col("toxic") == 1).cast("int").alias("toxic"), "text").mapInArrow(measure, _MEASURED)
     sample = written(sample, "toxicity-sample")
+    # As few rows as the sample at most.
     sizes = sample.groupBy("toxic", "copies").agg((1 / F.count("*")).alias("weight"))
-    sample = written(sample.join(sizes, ["toxic", "copies"]), "toxicity-weighed")
+    sample = written(sample.join(F.broadcast(sizes), ["toxic", "copies"]), "toxicity-weighed")
     totals = dict(sample.groupBy("toxic").agg(F.sum("weight")).collect())
     clean, toxic = totals.get(0, 0.0), totals.get(1, 0.0)
 

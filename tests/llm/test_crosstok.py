@@ -99,16 +99,17 @@ def test_documents_of_the_tables(spark, slow):
 
 
 def test_pieces_change_no_token():
-    text = ("Some words, 12 numbers and  spaces; naïve—text. " * 50 + "x" * 900 + " ") * 3
+    text = ("Some words, 12 numbers and  spaces; naïve text s <s> don't stop. " * 50 + "x" * 900 + " y ") * 3
     with open(PIECES, "rb") as b, open(BYTE_LEVEL, encoding="utf-8") as a:
         both = crosstok.Tokenizers(a.read(), b.read())
-    whole = both.encode([text, "", "a b"])
-    before, crosstok.PIECE = crosstok.PIECE, 37
-    try:
-        assert len(crosstok._pieces(text)) > 50
-        assert [side.to_pylist() for side in both.encode([text, "", "a b"])] == [side.to_pylist() for side in whole]
-    finally:
-        crosstok.PIECE = before
+    assert len(crosstok._SEAM.split(text)) > 500
+    odd = ["a" + x + y + "b c" for x in (" ", "▁", "\n", "\u2003", "\x1c", "́", "²", ".") for y in (" ", "▁", "\n", "²", "!", "é")]
+    texts = [text, "", "a b", "a  b c", " a b", "a b ", "a b, c. d!", *odd, *[t + " x" for t in odd]]
+    for t in texts:
+        assert crosstok._pieces(t) == crosstok._SEAM.split(t)
+    first, second = (side.to_pylist() for side in both.encode(texts))
+    assert first == [both.a.encode(" " + t, add_special_tokens=False).ids if t else [] for t in texts]
+    assert second == [both.b.encode(t) for t in texts]
 
 
 def test_no_rows(spark):
