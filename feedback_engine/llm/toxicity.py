@@ -29,7 +29,6 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import groupby
 from statistics import NormalDist
 
 import numpy as np
@@ -73,6 +72,7 @@ _SPACER = "\ue000"
 STEMS = range(4, 10)
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]{1,2}){2,}\S(?!\S)")
 _TWICE = re.compile(r"(.)\1")
+_SPOT = re.compile(r"(.)\1+|[^a-z]", re.DOTALL)
 
 
 def folded(text: str) -> str:
@@ -218,26 +218,21 @@ def features(word: str) -> list[str]:
 def lattice(token: str) -> Iterator[list[tuple[str, tuple[int, ...], float]]]:
     """For each run of equal characters of a folded token, the (text, symbols, channel cost) it may stand for.
 
-    Runs that stand for one thing only are put together.
+    Letters from a to z that stand once are put together.
     """
-    runs = [(c, len(list(run))) for c, run in groupby(token)]
-    fixed: list[tuple[str, tuple[int, ...], float]] = []
-    for k, (c, n) in enumerate(runs):
-        options = _options(c, n, 0 < k < len(runs) - 1)
-        if len(options) == 1:
-            fixed += options
-            continue
-        if fixed:
-            yield _together(fixed)
-            fixed = []
-        yield options
-    if fixed:
-        yield _together(fixed)
-
-
-def _together(fixed: list[tuple[str, tuple[int, ...], float]]) -> list[tuple[str, tuple[int, ...], float]]:
-    texts, symbols, costs = zip(*fixed)
-    return [("".join(texts), tuple(s for some in symbols for s in some), sum(costs))]
+    done, end = 0, len(token)
+    for spot in _SPOT.finditer(token):
+        start, stop = spot.span()
+        if start > done:
+            yield _as_it_is(token[done:start])
+        yield _options(token[start], stop - start, 0 < start and stop < end)
+        done = stop
+    if done < end:
+        yield _as_it_is(token[done:])
+
+
+def _as_it_is(letters: str) -> list[tuple[str, tuple[int, ...], float]]:
+    return [(letters, tuple([ord(c) - 96 for c in letters]), 0.0)]
 
 
 @lru_cache(maxsize=4096)
