@@ -296,13 +296,20 @@ def _strings(text: str | None, pieces: Callable[[str], list[str]]) -> list[str]:
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False
+    docs: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    back: bool = False,
+    portion: int = PORTION,
 ) -> DataFrame:
     """(``id_col``, ids) of every row: the token ids of the whole text, without special tokens.
 
     ``vocabulary`` is the path of a rank file on the driver, which sends it to
     the tasks; ``pattern`` splits a text into pre-tokens. With ``back`` the ids
-    are decoded again, into a column ``decoded``, by the same task. Null and
+    are decoded again, into a column ``decoded``, by the same task. ``portion``
+    is the characters that a task works on at once. Null and
     empty texts have no ids. Rows without an id and repeated rows come back like
     any other; further columns are not read.
     """
@@ -310,7 +317,7 @@ def encode(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = BytePairs(sent.value, pattern)
-        for some in portions(batches, 1, PORTION):
+        for some in portions(batches, 1, portion):
             ids, offsets = coder.encode(some.column(1).to_pylist())
             made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             columns, names = [some.column(0), made], [id_col, "ids"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -57,7 +58,16 @@ def portions(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Itera
         for start, end in zip(cuts, cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)
-        pa.default_memory_pool().release_unused()
+        _give_back()
+
+
+def _give_back() -> None:
+    """Free memory goes back to the system: workers are used again, by stages that need little too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def spanning_links(size: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
