@@ -180,9 +180,8 @@ query("cast_rating")(
     lambda i: i.reviews().select("arrival_seq", casts.cast_rating(F.col("rating")).alias("rating"))
 )
 query("parse_timestamp_utc")(
-    lambda i: i.reviews().select(
-        "arrival_seq",
-        casts.timestamp_text(casts.parse_timestamp_utc(F.col("date"))).alias("timestamp"),
+    lambda i: landing.typed_reviews(landing.scan_reviews(i.reviews()), landing.VOTE).select(
+        "arrival_seq", casts.timestamp_text(F.col("timestamp")).alias("timestamp")
     )
 )
 query("epoch_to_timestamp")(

@@ -41,11 +41,20 @@ TITLE = """CASE WHEN doc_id % 11 = 0 THEN NULL ELSE 'It’s “' || lang || '”
   cast(doc_id AS string) || CASE WHEN doc_id % 3 = 0 THEN ' 👍🏽 1️⃣ ™' ELSE '' END ||
   ' www.x.example/' || source END"""
 
-_DAY = "'{month}-' || lpad(cast(1 + doc_id % 28 AS string), 2, '0')"
+_DAY_NUMBER = "lpad(cast(1 + doc_id % 28 AS string), 2, '0')"
+_DAY = f"'{{year}}-{{month}}-' || {_DAY_NUMBER}"
 _HOUR = "lpad(cast(doc_id % 24 AS string), 2, '0') || ':' || lpad(cast(doc_id % 60 AS string), 2, '0')"
+# ISO with and without an offset and a fraction, and five other forms. Of the dates in numbers, English apps write the
+# month first, the others the day.
 DATE = f"""CASE WHEN doc_id % 37 = 0 THEN 'not a date'
   WHEN doc_id % 10 = 3 THEN {_DAY} || 'T' || {_HOUR} || ':00+02:00'
   WHEN doc_id % 10 = 5 THEN {_DAY} || ' ' || {_HOUR} || ':30.75'
+  WHEN doc_id % 10 = 1 THEN {_DAY_NUMBER} || ' {{name}} {{year}} ' || {_HOUR} || ':09 GMT'
+  WHEN doc_id % 10 = 2 THEN '{{year}}/{{month}}/' || {_DAY_NUMBER} || ' ' || {_HOUR}
+  WHEN doc_id % 10 = 4 THEN '{{year}}{{month}}' || {_DAY_NUMBER}
+  WHEN doc_id % 10 = 7 AND lang = 'en' THEN '{{month}}/' || {_DAY_NUMBER} || '/{{year}} ' || {_HOUR}
+  WHEN doc_id % 10 = 7 THEN {_DAY_NUMBER} || '/{{month}}/{{year}} ' || {_HOUR}
+  WHEN doc_id % 10 = 9 THEN '{{name}} ' || {_DAY_NUMBER} || ', {{year}}'
   ELSE {_DAY} || ' ' || {_HOUR} || ':00' END"""
 
 
@@ -56,7 +65,7 @@ def _reviews(shift: int, body: str, user: str, rating: str, date: str) -> str:
   lang AS lang_hint FROM documents"""
 
 
-FIRST_DATE = DATE.format(month="2024-01")
+FIRST_DATE = DATE.format(year="2024", month="01", name="Jan")
 RAW_REVIEWS = (
     _reviews(0, LONG_REVIEW, LONG_USER, RATING, FIRST_DATE)
     + " UNION ALL "
@@ -65,7 +74,7 @@ RAW_REVIEWS = (
 
 # The same reviews seen again: new ratings, for odd documents at a later date
 # (so new keys), and some users under new names.
-LATER_DATE = f"CASE WHEN doc_id % 2 = 1 THEN {DATE.format(month='2025-02')} ELSE {FIRST_DATE} END"
+LATER_DATE = f"CASE WHEN doc_id % 2 = 1 THEN {DATE.format(year='2025', month='02', name='Feb')} ELSE {FIRST_DATE} END"
 LATER_USER = (
     "CASE WHEN doc_id % 5 = 0 THEN 'n' || cast(n_chars % 7 AS string) ELSE {user} END"
 )

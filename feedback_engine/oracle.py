@@ -107,11 +107,21 @@ def key_of(t: str, ts: str = "timestamp", user: str = "userName") -> str:
     return f"sha256(app_id || '|' || {user} || '|' || {ts} || '|' || substring(trim({t}), 1, 100))"
 
 
-def instant(e: str) -> str:
+def instant(e: str, day_first: str = "false") -> str:
+    def form(shape: str, layout: str, text: str = e) -> str:
+        return f"WHEN regexp_matches({e}, '{shape}') THEN try_strptime({text}, '{layout}') "
+
     return (
         f"strftime(CASE WHEN regexp_matches({e}, '[+]\\d\\d:\\d\\d$') "
         f"THEN make_timestamp(epoch_us(try_cast({e} AS TIMESTAMPTZ))) "
-        f"ELSE try_cast({e} AS TIMESTAMP) END, '%Y-%m-%d %H:%M:%S')"
+        + f"WHEN regexp_matches({e}, '^[0-9]+/[0-9]+/[0-9]{{4}}') AND {day_first} "
+        f"THEN try_strptime({e}, '%d/%m/%Y %H:%M') "
+        + form("^[0-9]+/[0-9]+/[0-9]{4}", "%m/%d/%Y %H:%M")
+        + form("^[0-9]{4}/", "%Y/%m/%d %H:%M")
+        + form("^[0-9]{8}$", "%Y%m%d")
+        + form("^[A-Z][a-z]+ ", "%b %d, %Y")
+        + form(" GMT$", "%d %b %Y %H:%M:%S", f"replace({e}, ' GMT', '')")
+        + f"ELSE try_cast({e} AS TIMESTAMP) END, '%Y-%m-%d %H:%M:%S')"
     )
 
 
@@ -415,8 +425,12 @@ oracle("partial_batch", """SELECT CASE WHEN arrival_seq % 7 = 0 THEN '(quarantin
 
 oracle("cast_rating", f"SELECT arrival_seq, {rating('rating')} AS rating FROM raw_reviews",
        "raw_reviews")
-oracle("parse_timestamp_utc", f"SELECT arrival_seq, {instant('date')} AS timestamp FROM raw_reviews",
-       "raw_reviews")
+_FIRST, _SECOND = (f"CAST(nullif(regexp_extract(date, '^([0-9]{{1,2}})/([0-9]{{1,2}})/[0-9]{{4}}', {k}), '') AS INTEGER)" for k in (1, 2))
+cte("date_votes", f"""SELECT app_id, sum(CASE WHEN {_FIRST} > 12 AND {_SECOND} <= 12 THEN 1
+  WHEN {_FIRST} <= 12 AND {_SECOND} > 12 THEN -1 ELSE 0 END) > 0 AS day_first
+  FROM raw_reviews GROUP BY app_id""", "raw_reviews")
+oracle("parse_timestamp_utc", f"""SELECT arrival_seq, {instant('date', 'day_first')} AS timestamp
+  FROM raw_reviews JOIN date_votes USING (app_id)""", "raw_reviews", "date_votes")
 oracle("epoch_to_timestamp", "SELECT post_id AS id, timestamp FROM flat_posts", "flat_posts")
 oracle("author_default", f"SELECT arrival_seq, {AUTHOR} AS author FROM raw_reviews", "raw_reviews")
 oracle("author_deleted", "SELECT post_id AS id, author FROM flat_posts", "flat_posts")

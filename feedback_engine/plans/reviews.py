@@ -17,8 +17,16 @@ from feedback_engine.sources.landing import scan_reviews, typed_reviews
 Language = Column | LanguageProfile | None
 
 
-def clean_reviews(landed: DataFrame, language: Language = None, count: int | None = None, dates: Sequence[str] = MONTH_FIRST):
-    """Cast, drop unusable rows, clean and score; ``count`` bounds rows per app, ``dates`` are forms beside ISO."""
+def clean_reviews(
+    landed: DataFrame,
+    language: Language = None,
+    count: int | None = None,
+    dates: Sequence[str] | str = MONTH_FIRST,
+) -> DataFrame:
+    """Cast, drop unusable rows, clean and score.
+
+    ``count`` bounds rows per app; ``dates`` are forms beside ISO, or ``landing.VOTE``.
+    """
     reviews = scan_reviews(landed)
     if count is not None:
         reviews = bounded_fetch(reviews, "app_id", count)
@@ -35,7 +43,7 @@ def review_pipeline(
     landed: DataFrame,
     language: Language = None,
     count: int | None = None,
-    dates: Sequence[str] = MONTH_FIRST,
+    dates: Sequence[str] | str = MONTH_FIRST,
     **options,
 ) -> DataFrame:
     """Cleaned, de-duplicated and filtered reviews."""

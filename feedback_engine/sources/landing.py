@@ -7,7 +7,7 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,14 +88,53 @@ def scan_reviews(landed: DataFrame, on_missing: str = "raise") -> DataFrame:
     return landed.withColumnsRenamed({"date": "timestamp", "review": "review_text"})
 
 
-def typed_reviews(reviews: DataFrame, dates: Sequence[str] = casts.MONTH_FIRST) -> DataFrame:
-    """Names, ratings and times cast; nothing dropped yet. ``dates`` are the forms of dates beside ISO."""
+def typed_reviews(reviews: DataFrame, dates: Sequence[str] | str = casts.MONTH_FIRST) -> DataFrame:
+    """Names, ratings and times cast; nothing dropped yet.
+
+    ``dates`` are the forms of dates beside ISO, or ``VOTE``: then each app's
+    dates tell whether 01/05/2024 starts with the day or the month.
+    """
+    day_first = None
+    if dates == VOTE:
+        kept, dates = reviews.columns, casts.MONTH_FIRST
+        reviews, day_first = _with_vote(reviews, "app_id", "timestamp")
+    else:
+        kept = reviews.columns
     return reviews.withColumns({
         "userName": casts.review_author(F.col("userName")),
         "rating": casts.cast_rating(F.col("rating")),
         "title": casts.empty_if_null(F.col("title")),
-        "timestamp": casts.parse_timestamp_utc(F.col("timestamp"), dates),
-    })
+        "timestamp": casts.parse_timestamp_utc(F.col("timestamp"), dates, day_first),
+    }).select(*kept)
+
+
+# Take the order of day and month from the batch itself.
+VOTE = "vote"
+# Sources with the day first that are named in the plan; more are joined.
+NAMED_SOURCES = 1000
+
+
+def day_first_sources(df: DataFrame, source: str, date: str) -> DataFrame:
+    """Sources of a batch in which more dates can only have the day first than only the month.
+
+    One aggregate over the two columns. A source whose dates fit both ways, or
+    that is evenly split, is not among them.
+    """
+    votes = df.groupBy(source).agg(F.sum(casts.day_first_evidence(F.col(date))).alias("votes"))
+    return votes.filter("votes > 0").select(source)
+
+
+def _with_vote(df: DataFrame, source: str, date: str) -> tuple[DataFrame, Column]:
+    """``df`` and a column that says whether its row's source has the day first."""
+    found = day_first_sources(df, source, date)
+    some = [row[0] for row in found.limit(NAMED_SOURCES + 1).collect()]
+    if len(some) <= NAMED_SOURCES:
+        named = [s for s in some if s is not None]
+        known = F.coalesce(F.col(source).isin(named), F.lit(False)) if named else F.lit(False)
+        return df, known | F.col(source).isNull() if None in some else known
+    marked = found.select(F.col(source).alias("_source"), F.lit(True).alias("_day_first"))
+    joined = df.join(marked, F.col(source).eqNullSafe(F.col("_source")), "left")
+    return joined, F.coalesce(F.col("_day_first"), F.lit(False))
 
 
 def scan_posts(landed: DataFrame) -> DataFrame:

@@ -35,3 +35,36 @@ def test_reviews_are_kept(spark, date):
     assert [r.t for r in kept.select(casts.timestamp_text(F.col("timestamp")).alias("t")).collect()] == [MIDNIGHT]
     day_first = review_pipeline(landed, dates=casts.DAY_FIRST)
     assert day_first.count() == 1
+
+
+def landed_dates(spark, *apps):
+    rows = [(k, app, "u", "5", "t", date, f"text {k}") for k, (app, date) in enumerate(apps)]
+    return spark.createDataFrame(rows, RAW_REVIEW)
+
+
+@pytest.mark.parametrize("named", [1000, 0])
+def test_each_source_votes(spark, monkeypatch, named):
+    """By names in the plan and by a join alike."""
+    monkeypatch.setattr(landing, "NAMED_SOURCES", named)
+    landed = landed_dates(
+        spark, ("day", "13/01/2024"), ("day", "05/01/2024"), ("month", "01/13/2024"), ("month", "05/01/2024"),
+        ("tie", "13/01/2024"), ("tie", "01/13/2024"), ("open", "05/01/2024"), (None, "14/01/2024"), (None, "05/01/2024"),
+        ("day", "Jan 5, 2024"), ("day", "2024-01-05"), ("day", None),
+    )
+    typed = landing.typed_reviews(landing.scan_reviews(landed), landing.VOTE)
+    assert typed.columns == landing.scan_reviews(landed).columns
+    shown = typed.orderBy("arrival_seq").select(F.date_format("timestamp", "MM-dd").alias("t")).collect()
+    assert [r.t for r in shown] == [
+        "01-13", "01-05", "01-13", "05-01", None, "01-13", "05-01", "01-14", "01-05", "01-05", "01-05", None
+    ]
+    assert review_pipeline(landed, dates=landing.VOTE).count() == 10
+    assert review_pipeline(landed).count() == 8
+
+
+def test_no_generated_code_grows_too_large(spark, capfd):
+    """The engine's own query over all forms of dates; a class too large is logged as an error and interpreted."""
+    from feedback_engine import catalog
+
+    for name in ("filter_required", "parse_timestamp_utc", "upsert_reviews"):
+        catalog.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    assert "CodeGenerator" not in capfd.readouterr().err
