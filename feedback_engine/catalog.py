@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from feedback_engine.schemas import (
 from feedback_engine.session import new_workspace
 from feedback_engine.sources import landing
 from feedback_engine.sources.store import FeedbackStore
-from feedback_engine.streaming.ingest import ingest_reviews
+from feedback_engine.streaming.ingest import Arrivals, ingest_reviews
 
 Query = Callable[[Inputs], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -52,6 +53,20 @@ def language() -> Column:
     return Inputs.language("_quality.cleaned_text")
 
 
+# Folders of stored language profiles, by application and data folder.
+PROFILES: dict[tuple[str, str], str] = {}
+
+
+def detector(i: Inputs) -> langid.LanguageProfile:
+    """The profile of the folder's documents, trained and stored once, then read by whatever detects."""
+    trained = (i.spark.sparkContext.applicationId, i.sf_dir)
+    if trained not in PROFILES:
+        folder = new_workspace(i.spark, "language_profile")
+        langid.save_profile(langid.train_profile(labelled_texts(i), "cleaned", "lang"), folder, 1)
+        PROFILES[trained] = folder
+    return langid.LanguageProfile.from_rows(langid.stored_profile(i.spark, PROFILES[trained]))
+
+
 def typed(i: Inputs) -> DataFrame:
     return landing.typed_reviews(landing.scan_reviews(i.reviews()))
 
@@ -127,28 +142,37 @@ def new_store(i: Inputs) -> FeedbackStore:
     return FeedbackStore(i.spark, new_workspace(i.spark, "store")).initialize()
 
 
-def load_reviews(i: Inputs, store: FeedbackStore) -> DataFrame:
+def load_reviews(i: Inputs, store: FeedbackStore, detected: bool = False) -> FeedbackStore:
     """Two batches of reviews written one after the other."""
-    ingest.store_reviews(store, 0, final_reviews(i), app_names(i))
-    ingest.store_reviews(store, 1, later_reviews(i), app_names(i))
-    return store.read("reviews")
+    found = detector(i) if detected else language()
+    for batch_id, landed in enumerate((i.reviews(), i.later_reviews())):
+        ingest.store_reviews(store, batch_id, reviews.review_pipeline(landed, found), app_names(i))
+    return store
 
 
-def load_posts(i: Inputs, store: FeedbackStore) -> DataFrame:
+def load_posts(i: Inputs, store: FeedbackStore) -> FeedbackStore:
     ingest.store_posts(store, 0, final_posts(i))
-    return store.read("posts")
+    return store
 
 
-query("sink_reviews")(lambda i: shown(load_reviews(i, new_store(i))))
-query("sink_posts")(lambda i: shown(load_posts(i, new_store(i))))
+def stored(store: FeedbackStore, *tables: str) -> DataFrame:
+    """Rows of several tables, each with the name of its own; columns that a table lacks are null."""
+    named = [store.read(t).withColumn("table_name", F.lit(t)) for t in tables]
+    return shown(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named))
+
+
+query("sink_reviews")(
+    lambda i: stored(load_reviews(i, new_store(i), detected=True), "reviews", "users", "apps")
+)
+query("sink_posts")(lambda i: stored(load_posts(i, new_store(i)), "posts", "users", "communities"))
 
 
 @query("scan_store")
 def scan_store(i: Inputs) -> DataFrame:
     """Both fact tables read back, as the reports read them."""
     store = new_store(i)
-    stored_reviews = narrow(load_reviews(i, store), "review_key")
-    stored_posts = narrow(load_posts(i, store), "post_id")
+    stored_reviews = narrow(load_reviews(i, store).read("reviews"), "review_key")
+    stored_posts = narrow(load_posts(i, store).read("posts"), "post_id")
     return stored_reviews.withColumnRenamed("review_key", "id").unionByName(
         stored_posts.withColumnRenamed("post_id", "id")
     )
@@ -244,7 +268,8 @@ query("filter_empty_post")(
     lambda i: clean_posts(i).transform(filters.filter_empty_post).select("post_id", "title")
 )
 query("filter_language")(
-    lambda i: clean(i).transform(filters.filter_language, OPTIONS["keep_languages"])
+    lambda i: reviews.clean_reviews(i.reviews(), detector(i))
+    .transform(filters.filter_language, OPTIONS["keep_languages"])
     .select("arrival_seq", "language")
 )
 query("filter_min_quality")(
@@ -346,13 +371,13 @@ query("langid_train")(lambda i: langid.train_profile(labelled_texts(i), "cleaned
 @query("langid_score")
 def langid_score(i: Inputs) -> DataFrame:
     """The trained profile applied to every document and every turn."""
-    profile = langid.LanguageProfile.from_rows(REGISTRY["langid_train"](i))
     turns = i.table("conversations").select(
         (F.col("conv_id") * -1000 - F.col("turn") - 1).alias("id"), F.col("text")
     )
     texts = i.table("documents").select(F.col("doc_id").alias("id"), "text").unionByName(turns)
     cleaned = texts.select("id", text.clean_and_normalize(F.col("text")).alias("cleaned"))
-    return cleaned.select("id", profile.detect(F.col("cleaned")).alias("language"))
+    profile = ingest.materialize(REGISTRY["langid_train"](i), "profile")
+    return langid.detect_languages(cleaned, "id", "cleaned", profile)
 
 
 # --- source recognition -------------------------------------------------------------
@@ -570,25 +595,44 @@ query("overview")(lambda i: report.overview(final_reviews(i)))
 query("language_distribution")(lambda i: report.language_distribution(final_reviews(i)))
 query("reason_breakdown")(lambda i: report.reason_breakdown(final_reviews(i)))
 query("quality_histogram")(lambda i: report.quality_histogram(final_reviews(i)))
-query("worst_examples")(
-    lambda i: report.worst_examples(final_reviews(i), "review_text", "arrival_seq", 20)
-)
-query("best_examples")(
-    lambda i: report.best_examples(final_reviews(i), "review_text", "arrival_seq", 20)
-)
-query("full_report")(
-    lambda i: report.full_report({"reviews": final_reviews(i), "posts": final_posts(i)})
-)
+
+
+def both_facts(i: Inputs) -> dict[str, tuple[DataFrame, str, str]]:
+    return {
+        "reviews": (final_reviews(i), "review_text", "arrival_seq"),
+        "posts": (final_posts(i), "post_text", "arrival_seq"),
+    }
+
+
+query("worst_examples")(lambda i: report.examples(both_facts(i), 20, worst=True))
+query("best_examples")(lambda i: report.examples(both_facts(i), 20, worst=False))
+
+
+@query("full_report")
+def full_report(i: Inputs) -> DataFrame:
+    """Both facts, in the languages found in their texts."""
+    found = detector(i)
+    return report.full_report({
+        "reviews": reviews.review_pipeline(i.reviews(), found),
+        "posts": posts.post_pipeline(i.posts(), found),
+    })
 
 
 @query("batch_stats")
 def batch_stats(i: Inputs) -> DataFrame:
-    """Both stages from one cleaned batch, written once instead of cleaned twice."""
-    cleaned = ingest.materialize(clean(i), "cleaned")
-    final = reviews.select_reviews(cleaned, **OPTIONS)
-    return report.batch_stats(cleaned, "app_id", "after_clean").unionByName(
-        report.batch_stats(final, "app_id", "final")
-    )
+    """Both stages of both kinds of batch; each is written once, and its totals are taken meanwhile."""
+    found = None
+    for name, cleaned, source, select in (
+        ("reviews", clean(i), "app_id", reviews.select_reviews),
+        ("posts", clean_posts(i), "subreddit_id", posts.select_posts),
+    ):
+        batch, totals = ingest.materialize_observed(cleaned, name, "after_clean")
+        stages = {"after_clean": batch, "final": select(batch, **OPTIONS)}
+        parts = [report.batch_stats(df, source, stage).withColumnRenamed(source, "source") for stage, df in stages.items()]
+        for part in (*parts, totals):
+            part = part.withColumn("table_name", F.lit(name))
+            found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    return found
 
 
 query("stage_comparison")(lambda i: reviews.review_stages(i.reviews(), language(), **OPTIONS))
@@ -597,24 +641,32 @@ query("stage_comparison")(lambda i: reviews.review_stages(i.reviews(), language(
 # --- streaming ----------------------------------------------------------------------
 
 
-@query("incremental_ingest")
-def incremental_ingest(i: Inputs) -> DataFrame:
-    """Two deliveries land one after the other and are ingested as they come."""
+# Every so many lines, one arrives cut off.
+BROKEN_EVERY, BROKEN_CHARS = 7, 25
+
+
+def ingested(i: Inputs) -> tuple[FeedbackStore, str]:
+    """Two deliveries of JSON lines, some of them broken, ingested as they come: the store, and the quarantine."""
     base = new_workspace(i.spark, "stream")
     store = FeedbackStore(i.spark, f"{base}/store").initialize()
+    arrivals = Arrivals(f"{base}/landing", f"{base}/checkpoint", "json", f"{base}/quarantine", max_files=1000)
 
     def apps_of(landed: DataFrame) -> DataFrame:
-        return landed.groupBy("app_id").agg(
-            F.concat(F.lit("AppId_"), F.col("app_id")).alias("app_name"),
-            F.max("arrival_seq").alias("arrival_seq"),
-        )
+        return app_names(i).join(landed.select("app_id"), "app_id", "left_semi")
 
+    found = detector(i)
+    line = F.to_json(F.struct(*RAW_REVIEW.fieldNames()))
+    cut = F.when(F.col("arrival_seq") % BROKEN_EVERY == 0, F.left("line", F.lit(BROKEN_CHARS))).otherwise(F.col("line"))
     for delivery in (i.reviews(), i.later_reviews()):
-        columns.align_schema(delivery, RAW_REVIEW).write.mode("append").parquet(f"{base}/landing")
-        ingest_reviews(
-            i.spark, f"{base}/landing", store, f"{base}/checkpoint", apps_of
-        ).awaitTermination()
-    return shown(store.read("reviews"))
+        delivery.withColumn("line", line).select(cut.alias("value")).write.mode("append").text(arrivals.landing)
+        ingest_reviews(i.spark, arrivals, store, apps_of, found).awaitTermination()
+    return store, arrivals.quarantine
+
+
+query("incremental_ingest")(lambda i: stored(ingested(i)[0], "reviews", "users", "apps"))
+query("incremental_quarantine")(
+    lambda i: i.spark.read.parquet(ingested(i)[1]).select("batch_id", "reason", F.col(landing.CORRUPT).alias("line"))
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

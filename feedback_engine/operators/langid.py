@@ -10,11 +10,11 @@ rows would shuffle every document apart and together again.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,20 @@ def train_profile(df: DataFrame, text: str, lang: str) -> DataFrame:
     )
 
 
+def save_profile(profile: DataFrame, folder: str, version: int) -> None:
+    """Store a trained profile under its version; the same version again replaces it."""
+    profile.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{VERSION}={version}")
+
+
+def stored_profile(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """A stored profile, the newest if none is named."""
+    stored = spark.read.parquet(folder)
+    if version is None:
+        version = stored.agg(F.max(VERSION)).first()[0]
+    return stored.filter(F.col(VERSION) == version).drop(VERSION)
+
+
+VERSION = "version"
 SHIFT = np.uint64(21)
 
 
@@ -87,6 +101,11 @@ class LanguageProfile:
     entry_language: np.ndarray
     entry_gain: np.ndarray
     floors: np.ndarray
+    # The broadcast variable that holds this profile, by application.
+    sent: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "sent": {}}
 
     @classmethod
     def from_rows(cls, profile: DataFrame) -> LanguageProfile:
@@ -135,12 +154,52 @@ class LanguageProfile:
         return found
 
     def detect(self, text: Column) -> Column:
-        """Language code column, computed for whole Arrow batches."""
-        profile = self
+        """Language code column, computed for whole Arrow batches; the profile is sent to each executor once."""
+        context = SparkSession.active().sparkContext
+        if context.applicationId not in self.sent:
+            self.sent[context.applicationId] = context.broadcast(self)
+        profile = self.sent[context.applicationId]
 
         @F.pandas_udf(T.StringType())
         def detect_language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series(profile.best(batch.tolist()), dtype=object)
+                yield pd.Series(profile.value.best(batch.tolist()), dtype=object)
 
         return detect_language(F.lower(text))
+
+
+# Rows of a profile (about 20 bytes each in memory) up to which it is sent to every executor.
+SENT_ROWS = 5_000_000
+
+
+def detect_languages(df: DataFrame, key: str, text: str, profile: DataFrame, sent_rows: int = SENT_ROWS) -> DataFrame:
+    """(``key``, language) of every row; a key must be unique.
+
+    A profile of many scripts may outgrow the executors; beyond ``sent_rows``
+    it stays a table that the texts' trigrams are joined to.
+    """
+    if profile.limit(sent_rows + 1).count() <= sent_rows:
+        found = LanguageProfile.from_rows(profile)
+        return df.select(key, found.detect(F.col(text)).alias("language"))
+    return _detect_by_join(df, key, text, profile)
+
+
+def _detect_by_join(df: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
+    """Trigrams counted within each text, joined to the profile, and their gains summed up per text and language."""
+    floors = sorted(profile.select("lang", "floor").distinct().collect())  # a row for each language
+    lowered = df.select(key, F.lower(text).alias("_text"))
+    usable = lowered.filter(F.length("_text") >= MIN_CHARS)
+    grams = usable.select(key, F.explode(F.regexp_extract_all("_text", F.lit(_TRIGRAM), F.lit(1))).alias("gram"))
+    times = grams.groupBy(key, "gram").agg(F.count("*").alias("times"))
+    gains = profile.select("gram", "lang", (F.col("logp") - F.col("floor")).alias("gain"))
+    sums = times.join(gains, "gram").groupBy(key, "lang").agg(F.sum(F.col("times") * F.col("gain")).alias("gain"))
+    of_text = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", "gain"))).alias("_gains"))
+
+    def score(place: int, lang: str, floor: int) -> Column:
+        gained = F.coalesce(F.try_element_at("_gains", F.lit(lang)), F.lit(0))
+        total = gained + (F.length("_text") - 2) * F.lit(floor)
+        return F.struct(total.alias("score"), F.lit(-place).alias("order"), F.lit(lang).alias("lang"))
+
+    scores = F.array(*[score(k, lang, floor) for k, (lang, floor) in enumerate(floors)])
+    best = F.when(F.col("_gains").isNotNull(), F.array_max(scores)["lang"])
+    return lowered.join(of_text, key, "left").select(key, best.alias("language"))

@@ -54,6 +54,12 @@ def round_half_even_exact_large(value: Column, places: int) -> Column:
     return F.replace(F.format_number(value, places), F.lit(","), F.lit("")).cast("double")
 
 
+def _low_share() -> Column:
+    """Per cent of rows that are of low signal."""
+    low = F.count_if(F.col("is_low_signal") == 1)
+    return round_half_even_exact(F.try_divide(low, F.count("*")) * 100, 1)
+
+
 def overview(df: DataFrame, *by: str) -> DataFrame:
     """Rows, low-signal share and averages, in one pass; no row for an empty table."""
     low = F.count_if(F.col("is_low_signal") == 1)
@@ -62,7 +68,7 @@ def overview(df: DataFrame, *by: str) -> DataFrame:
         .agg(
             F.count("*").alias("n_rows"),
             low.alias("low_signal_rows"),
-            round_half_even_exact(F.try_divide(low, F.count("*")) * 100, 1).alias("low_signal_pct"),
+            _low_share().alias("low_signal_pct"),
             _average_score().alias("avg_quality"),
             _average("cleaned_length").alias("avg_length"),
             _average("word_count").alias("avg_words"),
@@ -101,28 +107,36 @@ def quality_histogram(df: DataFrame) -> DataFrame:
 
 
 def worst_examples(df: DataFrame, text: str, key: str, n: int) -> DataFrame:
-    return (
-        df.filter(F.col("is_low_signal") == 1)
-        .orderBy(F.asc("quality_score"), F.asc(key))
-        .limit(n)
-        .select(
-            key,
-            "quality_score",
-            "low_signal_reasons",
-            F.substring(text, 1, PREVIEW_CHARS).alias("preview"),
-        )
-    )
+    """The ``n`` low-signal rows of the lowest scores."""
+    return examples({"": (df, text, key)}, n, worst=True).drop("table_name").withColumnRenamed("id", key)
 
 
 def best_examples(df: DataFrame, text: str, key: str, n: int) -> DataFrame:
-    return (
-        df.filter(F.col("is_low_signal") == 0)
-        .orderBy(F.desc("quality_score"), F.asc(key))
-        .limit(n)
-        .select(
-            key, "quality_score", "language", F.substring(text, 1, PREVIEW_CHARS).alias("preview")
-        )
-    )
+    """The ``n`` other rows of the highest scores."""
+    return examples({"": (df, text, key)}, n, worst=False).drop("table_name").withColumnRenamed("id", key)
+
+
+def examples(tables: dict[str, tuple[DataFrame, str, str]], n: int, worst: bool) -> DataFrame:
+    """The ``n`` worst or best rows of each of the tables, given as (rows, text column, key column).
+
+    Keys are of one type in all tables. Each table's rows are cut down to ``n``
+    within every task before they move.
+    """
+    order = [F.asc("quality_score") if worst else F.desc("quality_score"), F.asc("id")]
+    shown = "low_signal_reasons" if worst else "language"
+    found = None
+    for name, (df, text, key) in tables.items():
+        part = (
+            df.filter(F.col("is_low_signal") == (1 if worst else 0))
+            .select(
+                F.lit(name).alias("table_name"), F.col(key).alias("id"), "quality_score", shown,
+                F.substring(text, 1, PREVIEW_CHARS).alias("preview"),
+            )
+            .orderBy(*order)
+            .limit(n)
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def full_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -152,6 +166,7 @@ def full_report(tables: dict[str, DataFrame]) -> DataFrame:
         F.grouping_id(table, lang, reason, bucket).alias("gid"),
         F.count("*").alias("n"),
         F.count_if(F.col("is_low_signal") == 1).alias("low"),
+        _low_share().alias("low_pct"),
         _average_score().alias("avg_quality"),
         _average("cleaned_length").alias("avg_length"),
         _average("word_count").alias("avg_words"),
@@ -183,6 +198,7 @@ def full_report(tables: dict[str, DataFrame]) -> DataFrame:
             "group_name",
             "n",
             F.when(overall, F.col("low")).alias("low_signal_rows"),
+            F.when(overall, F.col("low_pct")).alias("low_signal_pct"),
             F.when(overall | (F.col("section") == "language"), F.col("avg_quality")).alias(
                 "avg_quality"
             ),
@@ -222,6 +238,6 @@ def observe_stage(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
         observation,
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum("is_low_signal"), F.lit(0)).alias("low_signal_rows"),
-        F.try_divide(F.sum(_thousandths()) / 1000.0, F.count("quality_score")).alias("avg_quality"),
+        F.coalesce(_average_score(), F.lit(0.0)).alias("avg_quality"),
     )
     return observed, observation

@@ -174,6 +174,45 @@ def scored(name: str, source: str) -> None:
     )
 
 
+def final_steps(p: str) -> None:
+    """First copies of the reviews of a batch, and the rows they are stored as."""
+    cte(
+        f"{p}final",
+        f"""SELECT * FROM {p}reviews QUALIFY row_number() OVER
+          (PARTITION BY app_id, userName, review_text ORDER BY arrival_seq) = 1""",
+        f"{p}reviews",
+    )
+    cte(
+        f"{p}staged",
+        f"""SELECT review_key, app_id, sha256('apple|' || userName) AS user_id, rating, title,
+          review_text, timestamp AS review_timestamp, 'apple' AS source, {QUALITY_COLUMNS}
+        FROM {p}final QUALIFY row_number() OVER
+          (PARTITION BY review_key ORDER BY arrival_seq DESC) = 1""",
+        f"{p}final",
+    )
+
+
+def merged_steps(p: str) -> None:
+    """What the store holds after two batches: reviews, their users and their apps."""
+    cte(
+        f"{p}merged_reviews",
+        f"""SELECT * FROM {p}staged WHERE review_key NOT IN (SELECT review_key FROM {p}later_staged)
+        UNION ALL SELECT * FROM {p}later_staged""",
+        f"{p}staged", f"{p}later_staged",
+    )
+    cte(
+        f"{p}stored_reviews",
+        f"""SELECT 'reviews' AS table_name, * FROM {p}merged_reviews
+        UNION ALL BY NAME SELECT DISTINCT 'users' AS table_name, sha256('apple|' || userName) AS user_id,
+          userName AS username, 'apple' AS platform
+          FROM (SELECT userName FROM {p}final UNION ALL SELECT userName FROM {p}later_final)
+        UNION ALL BY NAME SELECT 'apps' AS table_name, app_id, app_name, 'apple' AS platform FROM app_names
+          WHERE app_id IN (SELECT app_id FROM {p}final UNION ALL SELECT app_id FROM {p}later_final)
+          QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY arrival_seq DESC) = 1""",
+        f"{p}merged_reviews", f"{p}final", f"{p}later_final", "app_names",
+    )
+
+
 for _p, _raw in (("", fx.RAW_REVIEWS), ("later_", fx.RAW_REVIEWS_LATER)):
     cte(f"{_p}raw_reviews", _raw)
     cte(
@@ -197,20 +236,7 @@ for _p, _raw in (("", fx.RAW_REVIEWS), ("later_", fx.RAW_REVIEWS_LATER)):
         FROM {_p}scored WHERE t <> ''""",
         f"{_p}scored",
     )
-    cte(
-        f"{_p}final",
-        f"""SELECT * FROM {_p}reviews QUALIFY row_number() OVER
-          (PARTITION BY app_id, userName, review_text ORDER BY arrival_seq) = 1""",
-        f"{_p}reviews",
-    )
-    cte(
-        f"{_p}staged",
-        f"""SELECT review_key, app_id, sha256('apple|' || userName) AS user_id, rating, title,
-          review_text, timestamp AS review_timestamp, 'apple' AS source, {QUALITY_COLUMNS}
-        FROM {_p}final QUALIFY row_number() OVER
-          (PARTITION BY review_key ORDER BY arrival_seq DESC) = 1""",
-        f"{_p}final",
-    )
+    final_steps(_p)
 # Every raw review assessed, without dropping any.
 cte(
     "all_texts",
@@ -219,6 +245,22 @@ cte(
 )
 scored("assessed", "all_texts")
 
+
+
+def final_post_steps(p: str) -> None:
+    cte(
+        f"{p}posts_dedup",
+        f"""SELECT * FROM {p}posts QUALIFY row_number() OVER
+          (PARTITION BY subreddit_id, author, title, post_text ORDER BY arrival_seq) = 1""",
+        f"{p}posts",
+    )
+    cte(
+        f"{p}final_posts",
+        f"SELECT * FROM {p}posts_dedup WHERE title <> '' OR post_text <> ''",
+        f"{p}posts_dedup",
+    )
+
+
 cte("raw_posts", fx.RAW_POSTS)
 cte(
     "later_raw_posts",
@@ -246,17 +288,7 @@ for _p in ("", "later_"):
     )
     scored(f"{_p}scored_posts", f"{_p}cleaned_posts")
     cte(f"{_p}posts", f"SELECT *, t AS post_text, {LANG} FROM {_p}scored_posts", f"{_p}scored_posts")
-    cte(
-        f"{_p}posts_dedup",
-        f"""SELECT * FROM {_p}posts QUALIFY row_number() OVER
-          (PARTITION BY subreddit_id, author, title, post_text ORDER BY arrival_seq) = 1""",
-        f"{_p}posts",
-    )
-    cte(
-        f"{_p}final_posts",
-        f"SELECT * FROM {_p}posts_dedup WHERE title <> '' OR post_text <> ''",
-        f"{_p}posts_dedup",
-    )
+    final_post_steps(_p)
     cte(
         f"{_p}staged_posts",
         f"""SELECT post_id, subreddit_id,
@@ -290,12 +322,7 @@ cte(
     "app_details",
 )
 cte("stored_communities", fx.STORED_COMMUNITIES)
-cte(
-    "merged_reviews",
-    """SELECT * FROM staged WHERE review_key NOT IN (SELECT review_key FROM later_staged)
-    UNION ALL SELECT * FROM later_staged""",
-    "staged", "later_staged",
-)
+merged_steps("")
 # What the store's users hold after the first batch of reviews.
 cte(
     "first_users",
@@ -338,26 +365,49 @@ cte(
       USING (lang)""",
     "gram_counts",
 )
-cte(
-    "lang_texts",
-    f"""SELECT id, string_split(lower({normalize(clean('text'))}), '') AS l FROM (
-      SELECT doc_id AS id, text FROM documents
-      UNION ALL SELECT conv_id * -1000 - turn - 1, text FROM conversations)""",
-)
-cte(
-    "lang_grams",
-    """SELECT id, gram, count(*) AS times FROM (SELECT id, unnest(list_transform(
-      generate_series(1, len(l) - 2), lambda i: l[i] || l[i + 1] || l[i + 2])) AS gram
-      FROM lang_texts WHERE len(l) >= 20) GROUP BY ALL""",
-    "lang_texts",
-)
-cte(
-    "lang_scores",
-    """SELECT g.id, p.lang, sum(times * (logp - p.floor)) + any_value(total * p.floor) AS score
-    FROM lang_grams g JOIN profile p USING (gram)
-    JOIN (SELECT id, sum(times) AS total FROM lang_grams GROUP BY id) USING (id) GROUP BY ALL""",
-    "lang_grams", "profile",
-)
+
+
+def detection_steps(name: str, texts: str, *needs: str) -> None:
+    """(id, language) of ``texts`` (id, cleaned) that hold a trigram of the profile."""
+    cte(f"{name}_texts", f"SELECT id, string_split(lower(cleaned), '') AS l FROM ({texts})", *needs)
+    cte(
+        f"{name}_grams",
+        f"""SELECT id, gram, count(*) AS times FROM (SELECT id, unnest(list_transform(
+          generate_series(1, len(l) - 2), lambda i: l[i] || l[i + 1] || l[i + 2])) AS gram
+          FROM {name}_texts WHERE len(l) >= 20) GROUP BY ALL""",
+        f"{name}_texts",
+    )
+    cte(
+        f"{name}_scores",
+        f"""SELECT g.id, p.lang, sum(times * (logp - p.floor)) + any_value(total * p.floor) AS score
+        FROM {name}_grams g JOIN profile p USING (gram)
+        JOIN (SELECT id, sum(times) AS total FROM {name}_grams GROUP BY id) USING (id) GROUP BY ALL""",
+        f"{name}_grams", "profile",
+    )
+    cte(name, f"SELECT id, arg_min(lang, (-score, lang)) AS language FROM {name}_scores GROUP BY id", f"{name}_scores")
+
+
+detection_steps("lang", f"""SELECT id, {normalize(clean('text'))} AS cleaned FROM (
+  SELECT doc_id AS id, text FROM documents
+  UNION ALL SELECT conv_id * -1000 - turn - 1, text FROM conversations)""")
+
+
+def detected(p: str, name: str) -> str:
+    """The rows of a step with the language found in their texts."""
+    return (f"SELECT r.* REPLACE (d.language AS language) FROM {p}{name} r "
+            f"LEFT JOIN {p}{name}_language d ON d.id = r.arrival_seq")
+
+
+# The same batches with languages found instead of given ("d"), and of those the lines that arrive whole ("l").
+for _p, _name, _finish in (("", "reviews", final_steps), ("later_", "reviews", final_steps), ("", "posts", final_post_steps)):
+    detection_steps(f"{_p}{_name}_language", f"SELECT arrival_seq AS id, t AS cleaned FROM {_p}{_name}", f"{_p}{_name}")
+    cte(f"d_{_p}{_name}", detected(_p, _name), f"{_p}{_name}", f"{_p}{_name}_language")
+    _finish(f"d_{_p}")
+for _p in ("", "later_"):
+    cte(f"l_{_p}reviews", f"SELECT * FROM d_{_p}reviews WHERE arrival_seq % 7 <> 0", f"d_{_p}reviews")
+    final_steps(f"l_{_p}")
+merged_steps("d_")
+merged_steps("l_")
 
 # The optional filters as set in the query catalogue.
 KEEP = "(language IS NULL OR lower(language) IN ('en', 'de', 'zh-cn'))"
@@ -413,8 +463,12 @@ oracle("scan_post_by_id", f"SELECT {POST_OUT} FROM posts WHERE post_id = '1_1' "
 oracle("bounded_fetch", """SELECT app_id, arrival_seq FROM raw_reviews QUALIFY row_number() OVER
   (PARTITION BY app_id ORDER BY arrival_seq) <= 5""", "raw_reviews")
 oracle("resolve_app_name", "SELECT app_id, app_name AS resolved FROM app_names", "app_names")
-oracle("sink_reviews", "SELECT * FROM merged_reviews", "merged_reviews")
-oracle("sink_posts", "SELECT * EXCLUDE (headline) FROM staged_posts", "staged_posts")
+oracle("sink_reviews", "SELECT * FROM d_stored_reviews", "d_stored_reviews")
+oracle("sink_posts", """SELECT 'posts' AS table_name, * EXCLUDE (headline) FROM staged_posts
+  UNION ALL BY NAME SELECT DISTINCT 'users' AS table_name, sha256('reddit|' || author) AS user_id,
+    author AS username, 'reddit' AS platform FROM final_posts WHERE author <> '[deleted]'
+  UNION ALL BY NAME SELECT DISTINCT 'communities' AS table_name, subreddit_id, subreddit_name AS name
+    FROM final_posts""", "staged_posts", "final_posts")
 oracle("scan_store", """SELECT review_key AS id, language, quality_score, is_low_signal
   FROM merged_reviews UNION ALL SELECT post_id, language, quality_score, is_low_signal
   FROM staged_posts""", "merged_reviews", "staged_posts")
@@ -456,7 +510,7 @@ oracle("filter_empty_review", "SELECT arrival_seq, length(t) AS char_length FROM
        "all_texts")
 oracle("filter_empty_post", "SELECT post_id, title FROM posts WHERE title <> '' OR post_text <> ''",
        "posts")
-oracle("filter_language", f"SELECT arrival_seq, language FROM reviews WHERE {KEEP}", "reviews")
+oracle("filter_language", f"SELECT arrival_seq, language FROM d_reviews WHERE {KEEP}", "d_reviews")
 oracle("filter_min_quality", f"SELECT arrival_seq, quality_score FROM reviews WHERE {SCORE_OK}",
        "reviews")
 oracle("filter_low_signal_reviews",
@@ -501,8 +555,7 @@ oracle("word_count", f"SELECT arrival_seq, {words('t')} AS word_count "
 oracle("low_signal_phrase", f"SELECT arrival_seq, CASE WHEN {phrase('t')} THEN 1 ELSE 0 END "
        "AS is_phrase FROM all_texts", "all_texts")
 oracle("langid_train", "SELECT * FROM profile", "profile")
-oracle("langid_score", """SELECT id, (SELECT arg_min(lang, (-score, lang)) FROM lang_scores s
-  WHERE s.id = x.id) AS language FROM lang_texts x""", "lang_texts", "lang_scores")
+oracle("langid_score", "SELECT id, language FROM lang_texts LEFT JOIN lang USING (id)", "lang_texts", "lang")
 
 for _n, _name in enumerate(("src_app_url", "src_app_id", "src_post_url", "src_community_url",
                             "src_community_name")):
@@ -634,8 +687,9 @@ oracle("defaults", """SELECT arrival_seq, NULL AS cleaned_length, NULL AS word_c
   'apple' AS source FROM raw_reviews""", "raw_reviews")
 
 _LOW = "count_if(is_low_signal = 1)"
+_LOW_PCT = fixed(f"{_LOW}::DOUBLE / count(*) * 100", 1)
 OVERVIEW = f"""count(*) AS n_rows, {_LOW} AS low_signal_rows,
-  {fixed(f'{_LOW}::DOUBLE / count(*) * 100', 1)} AS low_signal_pct, {AVG_Q} AS avg_quality,
+  {_LOW_PCT} AS low_signal_pct, {AVG_Q} AS avg_quality,
   {AVG_LEN} AS avg_length, {AVG_WORDS} AS avg_words"""
 oracle("overview", f"SELECT {OVERVIEW} FROM final", "final")
 oracle("language_distribution", f"""SELECT coalesce(language, 'unknown') AS lang, count(*) AS n,
@@ -647,47 +701,68 @@ _BUCKET = "CAST(trunc(quality_score * 10) AS INTEGER)"
 oracle("quality_histogram", f"""SELECT {LABEL} AS score_range, n FROM (
   SELECT {_BUCKET} AS bucket, count(*) AS n FROM final WHERE quality_score IS NOT NULL
   GROUP BY 1)""", "final")
-oracle("worst_examples", """SELECT arrival_seq, quality_score, low_signal_reasons,
-  substring(review_text, 1, 120) AS preview FROM final WHERE is_low_signal = 1
-  ORDER BY quality_score, arrival_seq LIMIT 20""", "final")
-oracle("best_examples", """SELECT arrival_seq, quality_score, language,
-  substring(review_text, 1, 120) AS preview FROM final WHERE is_low_signal = 0
-  ORDER BY quality_score DESC, arrival_seq LIMIT 20""", "final")
-cte("facts", "SELECT 'reviews' AS table_name, " + QUALITY_COLUMNS + """ FROM final
-  UNION ALL SELECT 'posts', """ + QUALITY_COLUMNS + " FROM final_posts", "final", "final_posts")
+
+
+def _examples(shown: str, low: int, order: str) -> str:
+    return " UNION ALL ".join(
+        f"""(SELECT '{name}' AS table_name, arrival_seq AS id, quality_score, {shown},
+          substring({text}, 1, 120) AS preview FROM {step} WHERE is_low_signal = {low}
+          ORDER BY quality_score {order}, arrival_seq LIMIT 20)"""
+        for name, step, text in (("reviews", "final", "review_text"), ("posts", "final_posts", "post_text"))
+    )
+
+
+oracle("worst_examples", _examples("low_signal_reasons", 1, "ASC"), "final", "final_posts")
+oracle("best_examples", _examples("language", 0, "DESC"), "final", "final_posts")
+cte("facts", "SELECT 'reviews' AS table_name, " + QUALITY_COLUMNS + """ FROM d_final
+  UNION ALL SELECT 'posts', """ + QUALITY_COLUMNS + " FROM d_final_posts", "d_final", "d_final_posts")
 _TOP = "QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY n DESC, group_name) <= 10"
 oracle("full_report", f"""SELECT table_name, 'overview' AS section, 'all' AS group_name,
-    count(*) AS n, {_LOW} AS low_signal_rows, {AVG_Q} AS avg_quality, {AVG_LEN} AS avg_length,
-    {AVG_WORDS} AS avg_words FROM facts GROUP BY table_name
+    count(*) AS n, {_LOW} AS low_signal_rows, {_LOW_PCT} AS low_signal_pct, {AVG_Q} AS avg_quality,
+    {AVG_LEN} AS avg_length, {AVG_WORDS} AS avg_words FROM facts GROUP BY table_name
   UNION ALL (SELECT table_name, 'language', coalesce(language, 'unknown') AS group_name,
-    count(*) AS n, NULL, {AVG_Q}, NULL, NULL FROM facts GROUP BY table_name, group_name {_TOP})
-  UNION ALL (SELECT table_name, 'reason', {_REASON} AS group_name, count(*) AS n, NULL, NULL, NULL,
+    count(*) AS n, NULL, NULL, {AVG_Q}, NULL, NULL FROM facts GROUP BY table_name, group_name {_TOP})
+  UNION ALL (SELECT table_name, 'reason', {_REASON} AS group_name, count(*) AS n, NULL, NULL, NULL, NULL,
     NULL FROM facts WHERE is_low_signal = 1 GROUP BY table_name, group_name {_TOP})
-  UNION ALL SELECT table_name, 'histogram', {LABEL}, n, NULL, NULL, NULL, NULL FROM (
+  UNION ALL SELECT table_name, 'histogram', {LABEL}, n, NULL, NULL, NULL, NULL, NULL FROM (
     SELECT table_name, {_BUCKET} AS bucket, count(*) AS n FROM facts
     WHERE quality_score IS NOT NULL GROUP BY ALL)""", "facts")
 
 
-def _stats(stage: str, source: str) -> str:
-    return f"""SELECT app_id, '{stage}' AS stage, n_rows, low_signal_rows, avg_quality, langs FROM (
-      SELECT app_id, count(*) AS n_rows, {_LOW} AS low_signal_rows, {AVG_Q} AS avg_quality
-      FROM {source} GROUP BY app_id) JOIN (
-      SELECT app_id, string_agg(lang || '=' || n, ', ' ORDER BY n DESC, lang) AS langs FROM (
-        SELECT app_id, coalesce(language, 'unknown') AS lang, count(*) AS n FROM {source}
-        GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY n DESC, lang) <= 5)
-      GROUP BY app_id) USING (app_id)"""
+def _stats(table: str, stage: str, step: str, source: str) -> str:
+    return f"""SELECT '{table}' AS table_name, source, '{stage}' AS stage, n_rows, low_signal_rows, avg_quality, langs FROM (
+      SELECT {source} AS source, count(*) AS n_rows, {_LOW} AS low_signal_rows, {AVG_Q} AS avg_quality
+      FROM {step} GROUP BY 1) JOIN (
+      SELECT source, string_agg(lang || '=' || n, ', ' ORDER BY n DESC, lang) AS langs FROM (
+        SELECT {source} AS source, coalesce(language, 'unknown') AS lang, count(*) AS n FROM {step}
+        GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY {source} ORDER BY n DESC, lang) <= 5)
+      GROUP BY source) USING (source)"""
+
+
+def _totals(table: str, step: str) -> str:
+    return (f"SELECT '{table}' AS table_name, NULL AS source, 'after_clean' AS stage, count(*) AS n_rows, "
+            f"{_LOW} AS low_signal_rows, {AVG_Q} AS avg_quality, NULL AS langs FROM {step}")
 
 
 cte("filtered", f"SELECT * FROM final WHERE {KEEP} AND {SCORE_OK} AND {SIGNAL_OK}", "final")
-oracle("batch_stats", _stats("after_clean", "reviews") + " UNION ALL " + _stats("final", "filtered"),
-       "reviews", "filtered")
+cte("filtered_posts", f"SELECT * FROM final_posts WHERE {KEEP} AND {SCORE_OK} AND {POST_SIGNAL_OK}", "final_posts")
+oracle("batch_stats", " UNION ALL ".join([
+    _stats("reviews", "after_clean", "reviews", "app_id"), _stats("reviews", "final", "filtered", "app_id"),
+    _stats("posts", "after_clean", "posts", "subreddit_id"), _stats("posts", "final", "filtered_posts", "subreddit_id"),
+    _totals("reviews", "reviews"), _totals("posts", "posts"),
+]), "reviews", "filtered", "posts", "filtered_posts")
 oracle("stage_comparison", """SELECT app_id, rows_raw, coalesce(c, 0) AS rows_after_clean,
   coalesce(f, 0) AS rows_final FROM (SELECT app_id, count(*) AS rows_raw FROM raw_reviews GROUP BY 1)
   LEFT JOIN (SELECT app_id, count(*) AS c FROM reviews GROUP BY 1) USING (app_id)
   LEFT JOIN (SELECT app_id, count(*) AS f FROM filtered GROUP BY 1) USING (app_id)""",
        "raw_reviews", "filtered")
-oracle("incremental_ingest", "SELECT * REPLACE (NULL AS language) FROM merged_reviews",
-       "merged_reviews")
+oracle("incremental_ingest", "SELECT * FROM l_stored_reviews", "l_stored_reviews")
+# A line starts with the number of its record; of the first 25 characters nothing else is whole.
+oracle("incremental_quarantine", """SELECT batch_id, 'broken' AS reason,
+  substring('{"arrival_seq":' || arrival_seq || ',"app_id":"' || app_id || '"', 1, 25) AS line FROM (
+  SELECT 0 AS batch_id, arrival_seq, app_id FROM raw_reviews
+  UNION ALL SELECT 1, arrival_seq, app_id FROM later_raw_reviews) WHERE arrival_seq % 7 = 0""",
+       "raw_reviews", "later_raw_reviews")
 
 
 def oracle_sql() -> dict[str, str]:

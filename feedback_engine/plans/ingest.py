@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedback_engine.operators import upsert
 from feedback_engine.operators.integrity import check_communities
+from feedback_engine.operators.report import observe_stage
 from feedback_engine.schemas import POST_PLATFORM, REVIEW_PLATFORM
 from feedback_engine.session import new_workspace
 from feedback_engine.sources.store import FeedbackStore
@@ -25,6 +26,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, label: str, stage: str) -> tuple[DataFrame, DataFrame]:
+    """As ``materialize``; the batch's numbers, one row, are counted by the tasks that write it."""
+    observed, totals = observe_stage(df, stage)
+    written = materialize(observed, label)
+    row = {"stage": stage, **totals.get}
+    schema = "stage string, n_rows long, low_signal_rows long, avg_quality double"
+    return written, df.sparkSession.createDataFrame([row], schema)
+
+
 def store_reviews(
     store: FeedbackStore, batch_id: int, reviews: DataFrame, apps: DataFrame
 ) -> DataFrame:

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from feedback_engine import catalog
 from feedback_engine.fixtures import Inputs
-from feedback_engine.operators import columns, dedup, langid, stages, upsert
+from feedback_engine.operators import columns, dedup, langid, report, stages, upsert
 from feedback_engine.plans import ingest, posts, reviews
 from feedback_engine.schemas import RAW_POST
-from feedback_engine.session import new_workspace
+from feedback_engine.session import new_workspace, remove_folders
 from feedback_engine.sources.store import FeedbackStore
-from feedback_engine.streaming.ingest import ingest_posts
+from feedback_engine.streaming.ingest import Arrivals, ingest_posts, ingest_reviews
 from tests.conftest import plan_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -176,13 +176,81 @@ def test_post_stream_shares_the_store(inputs, spark, store):
     base = new_workspace(spark, "posts")
     columns.align_schema(inputs.posts(), RAW_POST).write.parquet(f"{base}/landing")
     for _ in range(2):
-        ingest_posts(spark, f"{base}/landing", store, f"{base}/checkpoint").awaitTermination()
+        ingest_posts(spark, Arrivals(f"{base}/landing", f"{base}/checkpoint"), store).awaitTermination()
     assert store.read("posts").count() == posts.post_pipeline(inputs.posts()).count()
     assert store.read("users").filter("platform = 'apple'").count() == reviewers
     assert store.read("users").filter("platform = 'reddit'").count() > 0
 
 
-def test_stream_ends_where_batches_end(inputs):
-    streamed = catalog.REGISTRY["incremental_ingest"](inputs)
-    batch = catalog.REGISTRY["sink_reviews"](inputs)
-    assert rows(streamed.drop("language")) == rows(batch.drop("language"))
+def test_stream_ends_where_batches_end(inputs, spark, store):
+    """The lines that arrive whole, taken as two batches; the others are in quarantine."""
+    streamed, quarantine = catalog.ingested(inputs)
+    found = catalog.detector(inputs)
+    for batch_id, landed in enumerate((inputs.reviews(), inputs.later_reviews())):
+        whole = landed.filter(F.col("arrival_seq") % catalog.BROKEN_EVERY != 0)
+        ingest.store_reviews(store, batch_id, reviews.review_pipeline(whole, found), catalog.app_names(inputs))
+    for table in ("reviews", "users", "apps"):
+        assert rows(streamed.read(table)) == rows(store.read(table))
+    broken = spark.read.parquet(quarantine)
+    both = inputs.reviews().unionAll(inputs.later_reviews())
+    assert broken.count() == both.filter(F.col("arrival_seq") % catalog.BROKEN_EVERY == 0).count()
+
+
+def test_micro_batches_are_bounded_and_replayed_alike(spark, store):
+    """Three files, one a batch; the last batch's commit is lost, so it runs again and changes nothing."""
+    base = new_workspace(spark, "lines")
+    line = '{{"arrival_seq":{0},"app_id":"a","userName":"u{0}","rating":"5","title":"t","date":"2024-01-05","review":"a good thing no {0}"}}'
+    for k in range(3):
+        lines = [(line.format(k),), ("{cut",), ("",)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(f"{base}/landing")
+    arrivals = Arrivals(f"{base}/landing", f"{base}/checkpoint", "json", f"{base}/quarantine", max_files=1)
+
+    def apps(landed):
+        return landed.select("app_id", F.lit("A").alias("app_name"), "arrival_seq")
+
+    def run():
+        ingest_reviews(spark, arrivals, store, apps).awaitTermination()
+        bad = spark.read.parquet(arrivals.quarantine).select("batch_id", "reason", "_corrupt_record")
+        batches = sorted(map(tuple, store.log("reviews").filter("feed = 'reviews'").select("batch_id", "review_key").collect()))
+        return rows(store.read("reviews")), batches, sorted(map(tuple, bad.collect()))
+
+    first = run()
+    assert len(first[0]) == 3 and [b for b, _ in first[1]] == [0, 1, 2]
+    assert [(b, r) for b, r, _ in first[2]] == [(k, r) for k in range(3) for r in ("blank", "broken")]
+    remove_folders(spark, f"{base}/checkpoint/commits/2")
+    assert run() == first
+    with pytest.raises(ValueError):
+        Arrivals("l", "c", "json")
+    with pytest.raises(ValueError):
+        Arrivals("l", "c", max_files=1, max_bytes=1)
+
+
+def test_profiles_are_stored_by_version(spark):
+    texts = catalog.labelled_texts(Inputs(spark, SMALL))
+    folder = new_workspace(spark, "profiles")
+    profile = langid.train_profile(texts, "cleaned", "lang")
+    langid.save_profile(profile, folder, 1)
+    langid.save_profile(profile.filter("lang = 'en'"), folder, 2)
+    assert langid.LanguageProfile.from_rows(langid.stored_profile(spark, folder)).languages == ["en"]
+    assert rows(langid.stored_profile(spark, folder, 1)) == rows(profile)
+
+
+def test_a_large_profile_gives_the_same_languages(spark):
+    texts = catalog.labelled_texts(Inputs(spark, SMALL))
+    odd = spark.createDataFrame([(-1, "x" * 19), (-2, None), (-3, "漢" * 40), (-4, ""), (-5, "the " * 9)], "doc_id long, cleaned string")
+    both = texts.select("doc_id", "cleaned").unionByName(odd)
+    profile = ingest.materialize(langid.train_profile(texts, "cleaned", "lang"), "profile")
+    sent = langid.detect_languages(both, "doc_id", "cleaned", profile)
+    joined = langid.detect_languages(both, "doc_id", "cleaned", profile, sent_rows=10)
+    assert rows(sent) == rows(joined)
+    assert joined.filter("language IS NULL").count() == 4
+
+
+def test_totals_taken_while_writing(inputs):
+    """The same numbers as the aggregates over what was written."""
+    for cleaned in (catalog.clean(inputs), catalog.clean_posts(inputs)):
+        written, totals = ingest.materialize_observed(cleaned, "observed", "after_clean")
+        expected = report.overview(written).select("n_rows", "low_signal_rows", "avg_quality").first()
+        assert tuple(totals.first()) == ("after_clean", *expected)
+    _, none = ingest.materialize_observed(cleaned.filter("false"), "observed", "empty")
+    assert tuple(none.first()) == ("empty", 0, 0, 0.0)
