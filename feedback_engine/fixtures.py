@@ -117,10 +117,11 @@ RAW_POSTS = (
     + _posts(1, "x", f"CASE WHEN turn % 2 = 1 THEN {_BODY} ELSE '' END")
 )
 
+# An older list: one community was under another name then, one name under another id, one is not in it under either.
 STORED_COMMUNITIES = f"""SELECT DISTINCT
-  CASE WHEN conv_id % 5 = 2 THEN 't5_other' ELSE 't5_s' || {_K} END AS subreddit_id,
-  CASE WHEN conv_id % 5 = 1 THEN 'oldname' ELSE 'sub' || {_K} END AS name
-  FROM conversations WHERE conv_id % 5 < 3"""
+  CASE conv_id % 5 WHEN 2 THEN 't5_other' WHEN 3 THEN 't5_gone' ELSE 't5_s' || {_K} END AS subreddit_id,
+  CASE conv_id % 5 WHEN 1 THEN 'oldname' WHEN 3 THEN 'gone' ELSE 'sub' || {_K} END AS name
+  FROM conversations"""
 
 SOURCE_INPUTS = """SELECT page_id, CASE page_id % 9
   WHEN 0 THEN 'https://apps.apple.com/us/app/demo/id' || cast(100000 + page_id AS string)

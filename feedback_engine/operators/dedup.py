@@ -45,14 +45,26 @@ def dedup_posts(df: DataFrame) -> DataFrame:
     return first_per_key(df, POST_KEYS)
 
 
+# Rows of a source up to which every block of arrivals is cut to the count itself.
+FEW_ROWS = 1000
+# Parts that a source's arrivals are split into, at quantiles that may be off by less than one part.
+PARTS = 512
+
+
 def bounded_fetch(df: DataFrame, source: str, count: int, seq: str = "arrival_seq") -> DataFrame:
-    """The first ``count`` rows of each source in arrival order.
+    """The first ``count`` rows of each source in arrival order; a null number comes first.
 
-    A source may hold a large part of the table, so it is first cut down in
-    parallel blocks of arrival numbers, then once more over the few rows left.
+    A source may hold a large part of the table. For few rows it is cut down in
+    parallel blocks of arrival numbers, then once more over the rows left. For
+    more, quantiles of its numbers tell within which range the cut lies: rows
+    before it are kept where they are, and only that range is ranked.
     """
     if count <= 0:
         raise ValueError("count must be positive")
+    return _fetch_few(df, source, count, seq) if count <= FEW_ROWS else _fetch_many(df, source, count, seq)
+
+
+def _fetch_few(df: DataFrame, source: str, count: int, seq: str) -> DataFrame:
     block = F.pmod(F.shiftright(seq, 16), F.lit(64))
     by_block = Window.partitionBy(source, "_block").orderBy(seq)
     by_source = Window.partitionBy(source).orderBy(seq)
@@ -64,3 +76,32 @@ def bounded_fetch(df: DataFrame, source: str, count: int, seq: str = "arrival_se
         .filter(F.col("_rank") <= count)
         .drop("_block", "_rank")
     )
+
+
+def _fetch_many(df: DataFrame, source: str, count: int, seq: str) -> DataFrame:
+    """``df`` is read three times, twice for two columns only."""
+    number = F.col(seq)
+    grid = [k / PARTS for k in range(PARTS + 1)]
+    # A sketch and a count for each source, merged from those of the tasks.
+    sketch = df.groupBy(source).agg(
+        F.count("*").alias("_n"), F.percentile_approx(seq, grid, 20 * PARTS).alias("_grid")
+    )
+    part = F.floor(F.lit(float(count)) / F.col("_n") * PARTS).cast("int")
+    # Two parts to either side hold the cut for certain; a source of fewer rows is kept whole.
+    ranges = sketch.filter(F.col("_n") > count).select(
+        F.col(source).alias("_source"),
+        F.when(part >= 2, F.get("_grid", part - 2)).alias("_low"),
+        F.when(part + 3 <= PARTS, F.get("_grid", part + 3)).alias("_high"),
+    )
+    same = F.col(source).eqNullSafe(F.col("_source"))
+    before = F.coalesce(number < F.col("_low"), number.isNull() & F.col("_low").isNotNull())
+    passed = df.select(source, seq).join(ranges, same).groupBy("_source").agg(
+        F.count_if(before).alias("_before"), F.first("_low").alias("_low"), F.first("_high").alias("_high")
+    )
+    marked = df.join(passed, same, "left")
+    whole = F.col("_before").isNull()
+    within = ~whole & ~before & F.coalesce(number <= F.col("_high"), F.lit(True))
+    kept = marked.filter(whole | before).select(*df.columns)
+    order = Window.partitionBy("_source").orderBy(seq)
+    ranked = marked.filter(within).withColumn("_rank", F.row_number().over(order) + F.col("_before"))
+    return kept.unionByName(ranked.filter(F.col("_rank") <= count).select(*df.columns))

@@ -57,44 +57,47 @@ def check_domain(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    """Keys that occur more than once, with how often."""
-    results = []
+    """Keys that occur more than once, with how often.
+
+    Each table is read once: its keys become rows of their own, which are counted
+    together. The parts of a key stay apart, so no two keys look alike.
+    """
+    claims = []
     for name, df in tables.items():
-        for key in UNIQUE[name]:
-            repeated = df.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-            results.append(
-                repeated.select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(",".join(key)).alias("key_name"),
-                    F.concat_ws("|", *key).alias("key_value"),
-                    "n",
-                )
-            )
-    return _union(results)
+        keys = [
+            F.struct(F.lit(",".join(key)).alias("key_name"), F.array(*[F.col(c).cast("string") for c in key]).alias("parts"))
+            for key in UNIQUE[name]
+        ]
+        claims.append(df.select(F.lit(name).alias("table_name"), F.inline(F.array(*keys))))
+    repeated = _union(claims).groupBy("table_name", "key_name", "parts").agg(F.count("*").alias("n"))
+    return repeated.filter("n > 1").select("table_name", "key_name", F.concat_ws("|", "parts").alias("key_value"), "n")
 
 
 def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """References to missing rows, with how many rows hold each; null refers to none.
 
-    References are counted per value first, so popular values join as one row.
+    Each table is read once for the references it holds and once for the keys
+    that others refer to. References are counted per value first, so popular
+    values join as one row; one join finds those of no parent.
     """
-    results = []
-    for name, column, parent, parent_key in REFERENCES:
-        if name not in tables or parent not in tables:
-            continue
-        referred = (
-            tables[name]
-            .filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("value"))
-            .agg(F.count("*").alias("n"))
-        )
-        known = tables[parent].select(F.col(parent_key).alias("value"))
-        results.append(
-            referred.join(known, "value", "left_anti").select(
-                F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "value", "n"
-            )
-        )
-    return _union(results)
+    known = [r for r in REFERENCES if r[0] in tables and r[2] in tables]
+    referred = []
+    for name in dict.fromkeys(r[0] for r in known):
+        held = [
+            F.struct(F.lit(column).alias("column_name"), F.lit(parent).alias("parent"), F.col(column).cast("string").alias("value"))
+            for child, column, parent, _ in known
+            if child == name
+        ]
+        referred.append(tables[name].select(F.lit(name).alias("table_name"), F.inline(F.array(*held))))
+    counts = (
+        _union(referred).filter(F.col("value").isNotNull())
+        .groupBy("table_name", "column_name", "parent", "value").agg(F.count("*").alias("n"))
+    )
+    keys = _union([
+        tables[parent].select(F.lit(parent).alias("parent"), F.col(key).cast("string").alias("value"))
+        for parent, key in dict.fromkeys(r[2:] for r in known)
+    ])
+    return counts.join(keys, ["parent", "value"], "left_anti").select("table_name", "column_name", "value", "n")
 
 
 def check_communities(batch: DataFrame) -> DataFrame:

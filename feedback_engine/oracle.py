@@ -266,7 +266,7 @@ cte(
     "later_raw_posts",
     """SELECT * REPLACE (score + 1000 AS score,
       CASE WHEN score % 3 = 0 THEN NULL ELSE author END AS author)
-    FROM raw_posts WHERE num_comments % 2 = 0""",
+    FROM raw_posts""",
     "raw_posts",
 )
 for _p in ("", "later_"):
@@ -461,7 +461,9 @@ POST_OUT = f"""arrival_seq, post_id, subreddit_name, subreddit_id, author, title
 oracle("scan_post_by_id", f"SELECT {POST_OUT} FROM posts WHERE post_id = '1_1' "
        "AND (title <> '' OR post_text <> '')", "posts")
 oracle("bounded_fetch", """SELECT app_id, arrival_seq FROM raw_reviews QUALIFY row_number() OVER
-  (PARTITION BY app_id ORDER BY arrival_seq) <= 5""", "raw_reviews")
+  (PARTITION BY app_id ORDER BY arrival_seq) <= 5
+  UNION ALL (SELECT lang_hint, arrival_seq FROM raw_reviews QUALIFY row_number() OVER
+  (PARTITION BY lang_hint ORDER BY arrival_seq) <= 1200)""", "raw_reviews")
 oracle("resolve_app_name", "SELECT app_id, app_name AS resolved FROM app_names", "app_names")
 oracle("sink_reviews", "SELECT * FROM d_stored_reviews", "d_stored_reviews")
 oracle("sink_posts", """SELECT 'posts' AS table_name, * EXCLUDE (headline) FROM staged_posts
@@ -589,7 +591,7 @@ oracle("latest_per_key", """SELECT review_key, arrival_seq, rating FROM (
 
 oracle("upsert_apps", """SELECT app_id, coalesce(n.app_name, 'AppId_' || app_id) AS app_name,
   'apple' AS platform FROM (SELECT DISTINCT app_id FROM app_details) LEFT JOIN (
-    SELECT app_id, app_name FROM app_names WHERE app_name LIKE 'App %' QUALIFY row_number() OVER
+    SELECT app_id, app_name FROM app_names QUALIFY row_number() OVER
     (PARTITION BY app_id ORDER BY arrival_seq DESC) = 1) n USING (app_id)""", "app_names")
 oracle("insert_new_users", """SELECT * FROM first_users
   UNION SELECT sha256('apple|' || userName), userName, 'apple' FROM later_final

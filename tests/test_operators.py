@@ -156,3 +156,40 @@ def test_observation(spark, tmp_path):
     observed, observation = report.observe_stage(scored(spark, [0.1, 0.5]), "final")
     observed.write.parquet(str(tmp_path / "out"))
     assert observation.get["n_rows"] == 2 and observation.get["avg_quality"] == 0.3
+
+
+@pytest.mark.parametrize("count", [1001, 1500, 4000])
+def test_bounded_fetch_of_many_rows_ranks_a_part_only(spark, count):
+    """Uneven arrivals, ties of sources in size, null sources; the hot source is never in one window whole."""
+    rows = [("hot", k * k) for k in range(6000)] + [("even", 7 * k) for k in range(4000)] + [("few", k) for k in range(30)]
+    rows += [(None, 10**12 + k) for k in range(2000)]
+    df = spark.createDataFrame(rows, "app_id string, arrival_seq long").repartition(8)
+    got = sorted(map(tuple, dedup.bounded_fetch(df, "app_id", count).collect()), key=repr)
+    by_app = {a: sorted(n for b, n in rows if b == a)[:count] for a, _ in rows}
+    assert got == sorted(((a, n) for a, kept in by_app.items() for n in kept), key=repr)
+    ranked = dedup._fetch_many(df.filter("app_id = 'hot'"), "app_id", count, "arrival_seq")
+    windowed = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in windowed and "percentile_approx" in windowed
+
+
+def test_integrity_reads_each_table_once(spark):
+    from feedback_engine.operators import integrity
+    from feedback_engine.session import new_workspace
+
+    given = {
+        "communities": ([("c1", "n1"), ("c1", "n2"), ("c3", "n2")], "subreddit_id string, name string"),
+        "users": ([("u1", "a|b", "c"), ("u2", "a", "b|c"), ("u3", "x", "y"), ("u4", "x", "y")], "user_id string, username string, platform string"),
+        "posts": ([("p1", "c1", "u1"), ("p2", "c9", None), ("p3", "c9", "u9")], "post_id string, subreddit_id string, user_id string"),
+    }
+    tables = {}
+    for name, (rows, schema) in given.items():
+        path = new_workspace(spark, name)
+        spark.createDataFrame(rows, schema).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    unique, foreign = integrity.check_unique(tables), integrity.check_foreign_keys(tables)
+    assert sorted(map(tuple, unique.collect())) == [
+        ("communities", "name", "n2", 2), ("communities", "subreddit_id", "c1", 2), ("users", "username,platform", "x|y", 2)
+    ]
+    assert sorted(map(tuple, foreign.collect())) == [("posts", "subreddit_id", "c9", 2), ("posts", "user_id", "u9", 1)]
+    scans = [df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") for df in (unique, foreign)]
+    assert scans == [3, 3]
