@@ -71,12 +71,14 @@ def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, most: int, *m
     return [x[place < most] for x in (owner, other, score, *more)]
 
 
-GRAPH = "node long, others array<long>, scores array<float>"
+GRAPH = "node long, others array<long>, scores array<float>, fresh array<boolean>"
 
 
-def _graph_table(owner: np.ndarray, other: np.ndarray, score: np.ndarray) -> pa.Table:
-    nodes, (others, scores) = _lists(owner, other.astype(np.int64), score.astype(np.float32))
-    return pa.table({"node": pa.array(nodes, pa.int64()), "others": others, "scores": scores})
+def _graph_table(owner: np.ndarray, other: np.ndarray, score: np.ndarray, old: np.ndarray | None = None) -> pa.Table:
+    """Lists of neighbours; ``fresh`` marks those that were not known before the round."""
+    fresh = np.ones(len(owner), bool) if old is None else ~old
+    nodes, (others, scores, marks) = _lists(owner, other.astype(np.int64), score.astype(np.float32), fresh)
+    return pa.table({"node": pa.array(nodes, pa.int64()), "others": others, "scores": scores, "fresh": marks})
 
 
 def _compare(table: pa.Table) -> pa.Table:
@@ -97,25 +99,33 @@ def _compare(table: pa.Table) -> pa.Table:
 def _merge(table: pa.Table) -> pa.Table:
     """The nearest of each node, out of all lists known of it."""
     others, row = _flat(table["others"])
-    scores, _ = _flat(table["scores"])
-    return _graph_table(*_best(table["node"].to_numpy()[row], others, scores, DEGREE))
+    scores, old = _flat(table["scores"])[0], ~_flat(table["fresh"])[0].astype(bool)
+    return _graph_table(*_best(table["node"].to_numpy()[row], others, scores, DEGREE, old))
 
 
 def _introduce(table: pa.Table) -> pa.Table:
-    """Introduces the members of each node to each other; keeps what betters a member's worst neighbour."""
+    """Introduces the members of each node to each other; keeps what betters a member's worst neighbour.
+
+    Two members that both were there the round before have met.
+    """
     host, member = table["host"].to_numpy(), table["member"].to_numpy()
     order = np.lexsort((member, -table["score"].to_numpy(), host))
     rows, worst = _matrix(table["vector"], np.float32)[order], table["worst"].to_numpy()[order]
-    host, member = host[order], member[order]
+    host, member, new = host[order], member[order], table["new"].to_numpy(zero_copy_only=False)[order]
     starts = np.flatnonzero(np.concatenate(([True], host[1:] != host[:-1]))) if len(host) else np.empty(0, int)
     found = []
     for a, b in zip(starts.tolist(), np.append(starts, len(host))[1:].tolist()):
-        ids, first = np.unique(member[a:b], return_index=True)
-        first = a + np.sort(first)[:MEMBERS]
+        if not new[a:b].any():
+            continue
+        ids, first, which = np.unique(member[a:b], return_index=True, return_inverse=True)
+        fresh = np.bincount(which, new[a:b], len(ids)) > 0
+        nearest = np.argsort(first)[:MEMBERS]
+        first, fresh = a + first[nearest], fresh[nearest]
         ids, some = member[first], rows[first]
         if len(ids) < 2:
             continue
         score = some @ some.T
+        score[~(fresh[:, None] | fresh)] = -np.inf
         np.fill_diagonal(score, -np.inf)
         k = min(INTRODUCED, len(ids) - 1)
         top = np.argpartition(-score, k - 1, axis=1)[:, :k]
@@ -143,19 +153,28 @@ def neighbour_graph(nodes: DataFrame, size: int, buckets: int, seed: int = 0, ro
     def merged(lists: DataFrame) -> DataFrame:
         return written(lists.groupBy(_bucket("node", buckets)).applyInArrow(_merge, GRAPH), "ann_graph")
 
+    # Hosts are dealt out by where they lie, so a node meets most of its hosts in a few tasks, however many there are,
+    # and gets one list from each of those.
+    coarse = max(0, bits - int(np.log2(BUCKET // LEAF)))
+    places = trees.where("tree = 0").select(F.col("node").alias("host"), F.col("side").bitwiseAND((1 << coarse) - 1).alias("place"))
+    crowds = places.groupBy("place").count().select("place", F.ceil(F.col("count") / BUCKET).alias("parts"))
+    places = places.join(crowds, "place").select("host", "place", F.pmod(F.xxhash64("host"), "parts").alias("part"))
+    places = written(places, "ann_places")
+
     graph = merged(first)
     for _ in range(rounds):
-        edges = graph.select(F.col("node").alias("host"), F.posexplode("others").alias("k", "member"), "scores")
-        edges = edges.select("host", "member", F.get("scores", F.col("k")).alias("score"))
-        chosen_by = edges.select(F.col("member").alias("host"), F.col("host").alias("member"), "score")
+        edges = graph.select(F.col("node").alias("host"), F.posexplode("others").alias("k", "member"), "scores", "fresh")
+        edges = edges.select("host", "member", F.get("scores", F.col("k")).alias("score"), F.get("fresh", F.col("k")).alias("new"))
+        chosen_by = edges.select(F.col("member").alias("host"), F.col("host").alias("member"), "score", "new")
         nearest = Window.partitionBy("host").orderBy(F.desc("score"), "member")
         chosen_by = chosen_by.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= DEGREE).drop("k")
         known = nodes.join(graph.select("node", F.try_element_at("scores", F.lit(DEGREE)).alias("worst")), "node", "left")
         known = known.select(F.col("node").alias("member"), "vector", F.coalesce("worst", F.lit(float("-inf")).cast("float")).alias("worst"))
-        rows = edges.unionByName(chosen_by).join(known, "member")
-        news = rows.groupBy(_bucket("host", buckets)).applyInArrow(_introduce, GRAPH)
-        graph = merged(graph.unionByName(news))
-    return graph
+        rows = edges.unionByName(chosen_by).join(places, "host").join(known, "member")
+        news = rows.groupBy("place", "part").applyInArrow(_introduce, GRAPH)
+        known_before = graph.withColumn("fresh", F.transform("others", lambda _: F.lit(False)))
+        graph = merged(known_before.unionByName(news))
+    return graph.drop("fresh")
 
 
 def _sides(bits: int, seed: int):
