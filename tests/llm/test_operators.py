@@ -510,5 +510,5 @@ def test_stages_keep_the_columns(spark, odd, none):
 
 def test_registered_queries():
     found = queries.queries()
-    assert sorted(int(name[2:].split("_")[0]) for name in found) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in found) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and set(queries.oracle_sql()) <= set(found)
