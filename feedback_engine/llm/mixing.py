@@ -22,6 +22,7 @@ WEIGHTS = 3
 SPLITS = 256
 # Names that do not clash with columns of documents.
 SIZE, SLICE, PLACE, COPIES, KEY = "__mix_size", "__mix_slice", "__mix_place", "__mix_copies", "__mix_key"
+NAMED = "__mix_named"
 
 
 def word_count(text: Column) -> Column:
@@ -66,11 +67,13 @@ def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
     come last. Null texts have size zero, null is a source of its own, and a mix
     of no words takes nothing.
     """
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s:"), "source"), F.lit("none")))
+    # Never null, so that rows meet their counts under plain equality and the window keeps the join's partitions.
+    named = F.coalesce(F.concat(F.lit("s:"), "source"), F.lit("none"))
+    name = F.concat(F.lit(f"{seed}:"), F.col(NAMED))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("doc_id").cast("string")).cast("binary"))
     slice_ = F.coalesce(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % SPLITS, F.lit(SPLITS))
     clash = [c for c in docs.columns if c in ("source_size", "target")]
-    sized = docs.drop(*clash).withColumns({SIZE: word_count(F.col("text")), SLICE: slice_, KEY: digest})
+    sized = docs.drop(*clash).withColumns({SIZE: word_count(F.col("text")), SLICE: slice_, KEY: digest, NAMED: named})
     counts = sized.groupBy("source", SIZE, SLICE).agg(F.count(F.lit(1)).alias("n"))
     goal = targets(counts.select("source", (F.col(SIZE) * F.col("n")).alias("size")))
     by_size = counts.groupBy("source", SIZE).agg(F.sum("n").alias("of_size"))
@@ -82,7 +85,7 @@ def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
         _same(counts, by_size, "source", SIZE)
         .join(goal.withColumnRenamed("source", "__goal"), F.expr("source <=> __goal"))
         .select(
-            F.col("source").alias("__source"),
+            named.alias("__source"),
             F.col(SIZE).alias("__size"),
             F.col(SLICE).alias("__slice"),
             (F.col("earlier") + F.col("smaller")).alias("before"),
@@ -90,15 +93,15 @@ def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
             "target",
         )
     )
-    place = Window.partitionBy("source", SIZE, SLICE).orderBy(KEY, "doc_id")
+    place = Window.partitionBy(NAMED, SIZE, SLICE).orderBy(KEY, "doc_id")
     placed = sized.withColumn(PLACE, F.row_number().over(place))
-    joined = placed.join(before, F.expr(f"source <=> __source and {SIZE} = __size and {SLICE} = __slice"))
+    joined = placed.join(before, F.expr(f"{NAMED} = __source and {SIZE} = __size and {SLICE} = __slice"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     after = (F.col("before") + F.col(PLACE)) * rate + _unit(name)
     earlier = (F.col("before") + F.col(PLACE) - 1) * rate + _unit(name)
     copies = F.floor(after) - F.floor(earlier)
     return joined.withColumn(COPIES, copies.cast("int")).drop(
-        "__source", "__size", "__slice", "before", PLACE, SLICE, KEY
+        "__source", "__size", "__slice", "before", PLACE, SLICE, KEY, NAMED
     )
 
 
