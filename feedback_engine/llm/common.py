@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -11,21 +13,44 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.session import new_workspace
+from feedback_engine.session import new_workspace, remove_folders
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` within go when the block has ended well, save lasting ones.
+
+    So only what is written as lasting may be read afterwards. After an error
+    the folders stay, as for any other job that was cut short.
+    """
+    outer, made = _PASSING.get(), []
+    _PASSING.set(made)
+    try:
+        yield
+    finally:
+        _PASSING.set(outer)
+    remove_folders(spark, *made)
+
+
+def written(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     Cuts the lineage: a lost executor costs the tasks that read the table, not
-    the work that made it.
+    the work that made it. Within ``passing_tables`` it goes with the others
+    unless it is ``lasting``.
     """
     spark = df.sparkSession
     path = new_workspace(spark, label)
+    passing = _PASSING.get()
+    if passing is not None and not lasting:
+        passing.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -51,6 +51,11 @@ def fingerprint(text: str | None) -> int:
         slices = map(slice, starts[: n - SHINGLE + 1].tolist(), ends[SHINGLE - 1 :].tolist())
         shingles = map(joined.__getitem__, slices)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n - SHINGLE + 1)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have set, as a signed 64-bit number."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 65536):
         some = hashes[at : at + 65536].astype("<u8").view(np.uint8)
