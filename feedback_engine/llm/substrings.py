@@ -1,8 +1,10 @@
 """Substring de-duplication by sliding sentence spans.
 
-From every sentence of a text the shortest run of consecutive sentences that
-has at least ``LEAST_SENTENCES`` sentences and ``LEAST_WORDS`` words is hashed.
-An equality on the hashes brings equal runs of all documents together; the first
+A run is some consecutive sentences, at least ``LEAST_SENTENCES`` of them and
+``LEAST_WORDS`` words. Hashed are the shortest run from every sentence and the
+shortest run up to every sentence. Whatever longer run is repeated, these cover
+all of it: where the run from a sentence leaves the repeated one, the sentence
+lies in the run up to its end. An equality on the hashes brings equal runs of all documents together; the first
 of them, by document and place, is kept, and sentences that any later one
 covers go.
 """
@@ -22,8 +24,9 @@ from pyspark.sql import functions as F
 from feedback_engine.llm.common import written
 
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
-# A sentence of more words is cut after words whose checksum is divisible by CUT, wherever it begins.
-LONG, CUT = 16, 8
+# A sentence of more words than LONG is cut after words whose checksum is divisible by CUT, wherever it begins, and
+# after MOST words at the latest.
+LONG, CUT, MOST = 16, 8, 32
 
 _END = re.compile(r"[.!?…]+(?=\s)|[。！？]+|\n")
 _WORD = re.compile(r"\S+")
@@ -44,7 +47,7 @@ def sentences(text: str) -> list[tuple[int, int, bytes, int]]:
             for m in _WORD.finditer(part):
                 word = m[0].lower()
                 some.append(word)
-                if crc32(word.encode()) % CUT == 0:
+                if crc32(word.encode()) % CUT == 0 or len(some) == MOST:
                     found.append((start, at + m.end(), " ".join(some).encode(), len(some)))
                     start, some = at + m.end(), []
             if some:
@@ -63,23 +66,42 @@ def spans(text: str | None) -> list[tuple[int, int, int, int, int, int, bool]]:
     if not text:
         return []
     units = sentences(text)
-    made, last, words = [], -1, 0
+    made = []
     ended: dict[int, int] = {}  # last sentence of the first run of each hash
-    for first in range(len(units)):
-        # Runs slide: the end only moves on, and what leaves at the front is taken off.
-        while last + 1 < len(units) and (last - first + 1 < LEAST_SENTENCES or words < LEAST_WORDS):
-            last += 1
-            words += units[last][3]
-        if last - first + 1 < LEAST_SENTENCES or words < LEAST_WORDS:
-            break
-        run = b"\n".join(unit[2] for unit in units[first : last + 1])
-        digest = xxhash.xxh3_128_intdigest(run)
+    for first, last in shortest_runs([unit[3] for unit in units]):
+        digest = xxhash.xxh3_128_intdigest(b"\n".join(unit[2] for unit in units[first : last + 1]))
         again = first > ended.setdefault(digest, last)
         made.append((*divmod(digest, 1 << 64), first, last, units[first][0], units[last][1], again))
-        words -= units[first][3]
     return made
 
 
+def shortest_runs(words: list[int]) -> list[tuple[int, int]]:
+    """(first, last) of the runs that no sentence can leave at the front or none at the back, in order.
+
+    ``words`` has the number of words of each sentence. Whether a run is one of
+    these depends on its own sentences alone, so all its copies are.
+    """
+    found = set()
+    first = total = 0
+    for last, more in enumerate(words):
+        total += more
+        while last - first >= LEAST_SENTENCES and total - words[first] >= LEAST_WORDS:
+            total -= words[first]
+            first += 1
+        if last - first + 1 >= LEAST_SENTENCES and total >= LEAST_WORDS:
+            found.add((first, last))
+    last, total = -1, 0
+    for first, less in enumerate(words):
+        while last + 1 < len(words) and (last - first + 1 < LEAST_SENTENCES or total < LEAST_WORDS):
+            last += 1
+            total += words[last]
+        if last - first + 1 < LEAST_SENTENCES or total < LEAST_WORDS:
+            break
+        found.add((first, last))
+        total -= less
+    return sorted(found)
+
+
 def hashed_spans(docs: DataFrame) -> DataFrame:
     """(high, low, doc_id, first, last, start, end, again) of every run in the whole texts of ``docs``."""
     names = ["high", "low", "doc_id", "first", "last", "start", "end", "again"]
