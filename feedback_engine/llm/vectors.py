@@ -77,7 +77,7 @@ def _joiner(least: float):
     def run(table: pa.Table) -> pa.Table:
         """Links of one pair of blocks: a weight for each vector, and links that join what is connected."""
         ids, weights, first, second = (
-            table[name].to_numpy() for name in ("rep", "n", "first", "second")
+            table[name].to_numpy() for name in ("node", "n", "first", "second")
         )
         rows = table["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         rows = rows.reshape(len(ids), -1).astype(np.float64)
@@ -124,36 +124,34 @@ def vector_links(vectors: DataFrame, least: float = LEAST, block: int = BLOCK) -
     id, link with nothing; without an id the component is null and the row is
     not kept. Vectors of different dimensions never link. Rows with equal
     vectors are linked to each other and compared once; repeated rows count as
-    rows. Further columns are not read.
+    rows, and rows of one id with different vectors are vectors of their own.
+    Further columns are not read.
     """
     given = vectors.select("vec_id", "embedding")
     # Equal vectors by two 64-bit hashes.
     key = F.struct(F.xxhash64("embedding"), F.xxhash64(F.lit(1), "embedding"))
     rows = given.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).withColumn("key", key)
     groups = rows.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    first = F.row_number().over(Window.partitionBy("rep").orderBy("key")) == 1
-    groups = written(groups.withColumn("node", F.when(first, F.col("rep"))), "vector_groups")
-    nodes = groups.where("node is not null").select("key", "rep", "n")
-    distinct = rows.join(nodes, "key").where("vec_id = rep").dropDuplicates(["rep"])
-    distinct = written(distinct.select("rep", "n", "embedding", F.size("embedding").alias("size")), "vectors")
+    # Numbers hold from here on, as the table is written: a vector is a node, whatever ids its rows have.
+    groups = written(groups.withColumn("node", F.monotonically_increasing_id()), "vector_groups")
+    distinct = rows.join(groups, "key").where("vec_id = rep").dropDuplicates(["node"])
+    distinct = written(distinct.select("node", "n", "embedding", F.size("embedding").alias("size")), "vectors")
     blocks = max(1, -(-distinct.count() // block))
     others = F.sequence(F.lit(0), F.lit(blocks - 1))
-    own = F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
     pairs = distinct.withColumn("block", own).withColumn("other", F.explode(others))
     pairs = pairs.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")}).drop("other")
     made = pairs.groupBy("size", "first", "second").applyInArrow(_joiner(least), "a long, b long, n long")
     made = written(made, "vector_links")
     counts = made.where("b is null").groupBy("a").agg(F.sum("n").alias("found"))
     roots = components(made.where("b is not null").select("a", "b"), "vector_components")
-    by_group = (
+    by_node = (
         groups.join(counts, groups["node"] == counts["a"], "left")
         .join(roots.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-        .select(
-            "key",
-            (F.coalesce("found", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("root", "rep").alias("component_id"),
-        )
+        .select("key", "rep", F.coalesce("root", "node").alias("root"), (F.coalesce("found", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     )
+    smallest = by_node.groupBy("root").agg(F.min("rep").alias("component_id"))
+    by_group = by_node.join(smallest, "root").select("key", "n_links", "component_id")
     linked = rows.select("vec_id", "key").join(by_group, "key").drop("key")
     alone = given.where(~usable(F.col("embedding")) | F.col("vec_id").isNull())
     alone = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
