@@ -46,8 +46,11 @@ CHUNK = 8_000_000
 _SEAM = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 # Texts without any of these have no other spaces.
 _OTHER_SPACE = re.compile(r"\s\s|\A | \Z|▁")
+# Different pieces whose ids a task remembers from portion to portion, and the longest of them: at most some 80 MB.
+REMEMBERED, LONGEST = 400_000, 64
 # An id pair as one number: A's id times this, and B's id.
 SHIFT = 1 << 32
+_IDS = pa.list_(pa.int32())
 
 
 def _pieces(text: str) -> list[str]:
@@ -72,6 +75,11 @@ class Tokenizers:
         size = max(entries) + 1
         self.a_bytes = pa.array([bytes(map(byte_of.get, entries.get(i, ""))) for i in range(size)], pa.binary())
         self.b_bytes = pa.array(list(map(self._piece, range(self.b.vocab_size()))), pa.binary())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.known_a = self.known_b = pa.array([], _IDS)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -82,16 +90,39 @@ class Tokenizers:
         cut = [_pieces(text) if text else [] for text in texts]
         pieces = pa.array(chain.from_iterable(cut), pa.string()).dictionary_encode()
         last = pa.array(np.cumsum([0, *map(len, cut)]))
-        different = pieces.dictionary.to_pylist()
+        at = pc.index_in(pieces.dictionary, self.known)
+        new = pieces.dictionary.filter(at.is_null())
+        a, b = self._encode_new(new)
+        # Places in what was known, followed by what is new.
+        place = at.to_numpy(zero_copy_only=False)
+        missing = np.isnan(place) if at.null_count else np.zeros(len(place), bool)
+        place = np.where(missing, len(self.known) + np.cumsum(missing) - 1, np.nan_to_num(place)).astype(np.int64)
+        indices = pa.array(place).take(pieces.indices)
+
+        def whole(known: pa.ListArray, found: pa.ListArray) -> pa.ListArray:
+            of_pieces = pa.concat_arrays([known, found]).take(indices)
+            return pa.ListArray.from_arrays(of_pieces.offsets.take(last), of_pieces.flatten())
+
+        made = whole(self.known_a, a), whole(self.known_b, b)
+        self._remember(new, a, b)
+        return made
+
+    def _encode_new(self, new: pa.Array) -> tuple[pa.ListArray, pa.ListArray]:
+        different = new.to_pylist()
         # Without offsets, which are not used.
         a = [e.ids for e in self.a.encode_batch_fast([" " + piece for piece in different], add_special_tokens=False)]
         b = self.b.encode(different, num_threads=1) if different else []
-
-        def whole(ids: list[list[int]]) -> pa.ListArray:
-            of_pieces = pa.array(ids, pa.list_(pa.int32())).take(pieces.indices)
-            return pa.ListArray.from_arrays(of_pieces.offsets.take(last), of_pieces.flatten())
-
-        return whole(a), whole(b)
+        return pa.array(a, _IDS), pa.array(b, _IDS)
+
+    def _remember(self, new: pa.Array, a: pa.ListArray, b: pa.ListArray) -> None:
+        """Keeps the short ones of ``new`` for the next portions; starts over when there are too many."""
+        short = pc.less_equal(pc.binary_length(new), LONGEST)
+        if len(self.known) + (pc.sum(short).as_py() or 0) > REMEMBERED:
+            self._forget()
+        kept = (x.filter(short).slice(0, REMEMBERED) for x in (new, a, b))
+        self.known, self.known_a, self.known_b = (
+            pa.concat_arrays(x) for x in zip((self.known, self.known_a, self.known_b), kept)
+        )
 
 
 def _byte_of_character() -> dict[str, int]:
