@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_engine.fixtures import STORED_COMMUNITIES, Inputs
+from feedback_engine.fixtures import APP_NUMBER, STORED_COMMUNITIES, Inputs
 from feedback_engine.functions import casts, dispatch, keys, quality, text
 from feedback_engine.operators import columns, dedup, filters, integrity, langid, report, upsert
 from feedback_engine.operators.quality import attach_quality
@@ -407,7 +407,7 @@ query("classify_source")(
 
 @query("route_by_source")
 def route_by_source(i: Inputs) -> DataFrame:
-    """Posts asked for by the inputs, plus how many inputs each pipeline gets."""
+    """Every input that a pipeline gets."""
     classified = routing.classify_inputs(i.source_inputs(), "input")
     routed = None
     for kind, branch in routing.route_by_source(classified).items():
@@ -416,6 +416,23 @@ def route_by_source(i: Inputs) -> DataFrame:
     return routed
 
 
+def ingest_requests(i: Inputs, store: FeedbackStore, batch_id: int = 0) -> DataFrame:
+    """What the requests name, stored; the affected counts of both feeds."""
+    numbered = app_names(i).withColumn("app_id", F.expr(APP_NUMBER))
+    return routing.ingest_requested(
+        store, batch_id, routing.classify_inputs(i.requests(), "input"), i.numbered_reviews(), i.plain_posts(),
+        lambda landed: numbered.join(landed.select("app_id"), "app_id", "left_semi"), language(),
+    )
+
+
+@query("routed_ingest")
+def routed_ingest(i: Inputs) -> DataFrame:
+    """Every table that the pipelines asked for have stored."""
+    store = new_store(i)
+    ingest_requests(i, store)
+    return stored(store, "reviews", "posts", "users", "apps", "communities")
+
+
 # --- keys and de-duplication --------------------------------------------------------
 
 query("review_key")(

@@ -135,6 +135,18 @@ SOURCE_INPUTS = """SELECT page_id, CASE page_id % 9
   WHEN 7 THEN 'https://reddit.com/r/Demo?x=1'
   ELSE url END AS input FROM pages"""
 
+# Apps by number and posts by an id without signs, as addresses name them, for batches that are asked for.
+APP_NUMBER = "cast(100000 + ascii(substr(app_id, 2, 1)) * 10 + cast(right(app_id, 1) AS int) AS string)"
+PLAIN_POST_ID = "replace(id, '_', 'z')"
+# Apps in English and German, single posts, two communities, and what no form fits; some of them twice, some not landed.
+REQUESTS = """SELECT page_id, CASE page_id % 5
+  WHEN 0 THEN 'https://apps.apple.com/us/app/demo/id' || cast(101100 + page_id % 4 AS string)
+  WHEN 1 THEN ' ID' || cast(101010 + page_id % 8 AS string)
+  WHEN 2 THEN 'https://www.reddit.com/r/Any_' || cast(page_id AS string) || '/comments/' ||
+    CASE WHEN page_id % 2 = 0 THEN 'X' ELSE '' END || cast(page_id AS string) || 'Z1/t'
+  WHEN 3 THEN 'r/Sub' || cast(1 + 2 * (page_id % 2) AS string)
+  ELSE url || '?' END AS input FROM pages"""
+
 APP_DETAILS = """SELECT DISTINCT lang || '-' || cast(n_chars % 10 AS string) AS app_id,
   CASE WHEN n_chars % 10 < 3 THEN '' WHEN n_chars % 10 < 5 THEN NULL
     ELSE 'App ' || lang END AS app_name,
@@ -180,6 +192,15 @@ class Inputs:
     def source_inputs(self) -> DataFrame:
         return self.sql(SOURCE_INPUTS)
 
+    def requests(self) -> DataFrame:
+        return self.sql(REQUESTS)
+
+    def numbered_reviews(self) -> DataFrame:
+        return self.reviews().withColumn("app_id", F.expr(APP_NUMBER))
+
+    def plain_posts(self) -> DataFrame:
+        return self.posts().withColumn("id", F.expr(PLAIN_POST_ID))
+
     def app_details(self) -> DataFrame:
         return self.sql(APP_DETAILS)
 

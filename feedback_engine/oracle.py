@@ -213,8 +213,12 @@ def merged_steps(p: str) -> None:
     )
 
 
-for _p, _raw in (("", fx.RAW_REVIEWS), ("later_", fx.RAW_REVIEWS_LATER)):
-    cte(f"{_p}raw_reviews", _raw)
+ASKED_REVIEWS = f"""SELECT * REPLACE ({fx.APP_NUMBER} AS app_id) FROM raw_reviews
+  WHERE {fx.APP_NUMBER} IN (SELECT value FROM asked WHERE kind = '{dispatch.APP}')"""
+for _p, _raw, *_needs in (
+    ("", fx.RAW_REVIEWS), ("later_", fx.RAW_REVIEWS_LATER), ("asked_", ASKED_REVIEWS, "raw_reviews", "asked"),
+):
+    cte(f"{_p}raw_reviews", _raw, *_needs)
     cte(
         f"{_p}typed",
         f"""SELECT arrival_seq, app_id, {AUTHOR} AS userName, {rating('rating')} AS rating,
@@ -269,7 +273,15 @@ cte(
     FROM raw_posts""",
     "raw_posts",
 )
-for _p in ("", "later_"):
+_ASKED_IDS = f"(SELECT value FROM asked WHERE kind = '{dispatch.POST}')"
+_ASKED_NAMES = f"(SELECT value FROM asked WHERE kind = '{dispatch.COMMUNITY}')"
+cte(
+    "asked_raw_posts",
+    f"""SELECT * REPLACE ({fx.PLAIN_POST_ID} AS id) FROM raw_posts
+    WHERE {fx.PLAIN_POST_ID} IN {_ASKED_IDS} OR lower(display_name) IN {_ASKED_NAMES}""",
+    "raw_posts", "asked",
+)
+for _p in ("", "later_", "asked_"):
     cte(
         f"{_p}flat_posts",
         f"""SELECT arrival_seq, id AS post_id, lower(display_name) AS subreddit_name,
@@ -297,23 +309,37 @@ for _p in ("", "later_"):
           'reddit' AS source, {QUALITY_COLUMNS}, title AS headline FROM {_p}final_posts""",
         f"{_p}final_posts",
     )
-cte("source_inputs", fx.SOURCE_INPUTS)
+# Posts asked for by id are no copies of others.
 cte(
-    "folded",
-    r"SELECT page_id, lower(regexp_replace(input, '^\s+|\s+$', '', 'g')) AS input FROM source_inputs",
-    "source_inputs",
-)
+    "asked_final_posts",
+    f"""SELECT * FROM asked_posts WHERE (title <> '' OR post_text <> '') AND (post_id IN {_ASKED_IDS}
+      OR arrival_seq IN (SELECT arrival_seq FROM asked_posts_dedup WHERE subreddit_name IN {_ASKED_NAMES}))""",
+    "asked_posts", "asked_posts_dedup", "asked",
+)
 _forms = [
     f"nullif(regexp_extract(input, {lit(form)}, 1), '') AS v{n}"
     for n, (_, form) in enumerate(dispatch.RULES)
 ]
-cte("matched", f"SELECT page_id, {', '.join(_forms)} FROM folded", "folded")
 _kinds = " ".join(f"WHEN v{n} IS NOT NULL THEN '{k}'" for n, (k, _) in enumerate(dispatch.RULES))
-cte(
-    "classified",
-    f"SELECT page_id, CASE {_kinds} END AS kind, coalesce(v0, v1, v2, v3, v4) AS value FROM matched",
-    "matched",
-)
+
+
+def classified_steps(inputs: str, sql: str, folded: str, matched: str, classified: str) -> None:
+    cte(inputs, sql)
+    cte(
+        folded,
+        rf"SELECT page_id, lower(regexp_replace(input, '^\s+|\s+$', '', 'g')) AS input FROM {inputs}",
+        inputs,
+    )
+    cte(matched, f"SELECT page_id, {', '.join(_forms)} FROM {folded}", folded)
+    cte(
+        classified,
+        f"SELECT page_id, CASE {_kinds} END AS kind, coalesce(v0, v1, v2, v3, v4) AS value FROM {matched}",
+        matched,
+    )
+
+
+classified_steps("source_inputs", fx.SOURCE_INPUTS, "folded", "matched", "classified")
+classified_steps("requests", fx.REQUESTS, "folded_requests", "matched_requests", "asked")
 cte("app_details", fx.APP_DETAILS)
 cte(
     "app_names",
@@ -566,6 +592,19 @@ oracle("classify_source", "SELECT page_id, kind, value FROM classified", "classi
 oracle("route_by_source", """SELECT kind AS pipeline, page_id, value FROM classified
   WHERE kind IS NOT NULL""", "classified")
 
+oracle("routed_ingest", f"""SELECT 'reviews' AS table_name, * FROM asked_staged
+  UNION ALL BY NAME SELECT 'posts' AS table_name, * EXCLUDE (headline) FROM asked_staged_posts
+  UNION ALL BY NAME SELECT DISTINCT 'users' AS table_name, sha256('apple|' || userName) AS user_id,
+    userName AS username, 'apple' AS platform FROM asked_final
+  UNION ALL BY NAME SELECT DISTINCT 'users' AS table_name, sha256('reddit|' || author) AS user_id,
+    author AS username, 'reddit' AS platform FROM asked_final_posts WHERE author <> '[deleted]'
+  UNION ALL BY NAME SELECT 'apps' AS table_name, {fx.APP_NUMBER} AS app_id, app_name, 'apple' AS platform FROM app_names
+    WHERE {fx.APP_NUMBER} IN (SELECT app_id FROM asked_final)
+    QUALIFY row_number() OVER (PARTITION BY app_names.app_id ORDER BY arrival_seq DESC) = 1
+  UNION ALL BY NAME SELECT DISTINCT 'communities' AS table_name, subreddit_id, subreddit_name AS name
+    FROM asked_final_posts""",
+  "asked_staged", "asked_staged_posts", "asked_final", "asked_final_posts", "app_names")
+
 oracle("review_key", "SELECT arrival_seq, review_key FROM reviews", "reviews")
 oracle("dedup_reviews", "SELECT arrival_seq, app_id, userName, review_text FROM final", "final")
 oracle("dedup_posts", "SELECT arrival_seq, subreddit_id, author, title, post_text FROM posts_dedup",

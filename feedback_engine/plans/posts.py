@@ -46,9 +46,17 @@ def select_posts(cleaned: DataFrame, **options) -> DataFrame:
 
 def post_by_id(landed: DataFrame, post_id: str, language: Language = None, **options) -> DataFrame:
     """One post, cleaned and filtered; there is nothing to de-duplicate."""
+    return _chosen(scan_post_by_id(landed, post_id), language, **options)
+
+
+def chosen_posts(landed: DataFrame, language: Language = None, **options) -> DataFrame:
+    """Posts that were each asked for, cleaned and filtered; copies stay."""
+    return _chosen(scan_posts(landed), language, **options)
+
+
+def _chosen(posts: DataFrame, language: Language, **options) -> DataFrame:
     return (
-        scan_post_by_id(landed, post_id)
-        .transform(attach_quality, "post_text", ("title",), language)
+        posts.transform(attach_quality, "post_text", ("title",), language)
         .transform(filters.filter_empty_post)
         .transform(filters.apply_quality_filters, "posts", **options)
     )

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from feedback_engine import catalog
 from feedback_engine.fixtures import Inputs
+from feedback_engine.functions.dispatch import APP, COMMUNITY, POST
 from feedback_engine.operators import columns, dedup, langid, report, stages, upsert
-from feedback_engine.plans import ingest, posts, reviews
+from feedback_engine.plans import ingest, posts, reviews, routing
 from feedback_engine.schemas import RAW_POST
 from feedback_engine.session import new_workspace, remove_folders
 from feedback_engine.sources.store import FeedbackStore
@@ -254,3 +255,48 @@ def test_totals_taken_while_writing(inputs):
         assert tuple(totals.first()) == ("after_clean", *expected)
     _, none = ingest.materialize_observed(cleaned.filter("false"), "observed", "empty")
     assert tuple(none.first()) == ("empty", 0, 0, 0.0)
+
+
+def test_requests_run_the_pipelines_they_name(inputs, store):
+    """What was asked for is stored and nothing else; asking again adds nothing."""
+    counts = {r.feed: r for r in catalog.ingest_requests(inputs, store).collect()}
+    assert counts["reviews"].inserted > 0 and counts["posts"].inserted > 0
+    asked = {(r.kind, r.value) for r in routing.classify_inputs(inputs.requests(), "input").collect()}
+    assert {r.app_id for r in store.read("reviews").select("app_id").collect()} <= {v for k, v in asked if k == APP}
+    names = {v for k, v in asked if k == COMMUNITY}
+    posts_of = store.read("posts").join(store.read("communities"), "subreddit_id")
+    outside = posts_of.filter(~F.col("name").isin(*names)).select("post_id").collect()
+    assert outside and {r.post_id for r in outside} <= {v for k, v in asked if k == POST}
+    before = {table: rows(store.read(table)) for table in ("reviews", "posts", "users", "apps", "communities")}
+    again = {r.feed: r for r in catalog.ingest_requests(inputs, store, 1).collect()}
+    assert all(again[feed].inserted == 0 and again[feed].affected == counts[feed].affected for feed in again)
+    assert before == {table: rows(store.read(table)) for table in before}
+
+
+def test_a_post_asked_for_by_id_is_no_copy(inputs):
+    """The same post under two ids: its community stores the first, and either is stored when asked for."""
+    first = inputs.plain_posts().filter("selftext <> ''").limit(1)
+    landed = first.unionByName(first.withColumns({"id": F.lit("Copy1"), "arrival_seq": F.col("arrival_seq") + 1}))
+    landed = ingest.materialize(landed, "landed")
+    name = landed.select(F.lower("subreddit.display_name")).first()[0]
+
+    def stored_ids(*asked):
+        requests = inputs.spark.createDataFrame(list(asked), "kind string, value string")
+        own = FeedbackStore(inputs.spark, new_workspace(inputs.spark, "store")).initialize()
+        routing.ingest_requested(
+            own, 0, requests, inputs.numbered_reviews().limit(0), landed, lambda _: catalog.app_names(inputs).limit(0)
+        )
+        return {r.post_id.lower() for r in own.read("posts").collect()}
+
+    original = next(r.id.lower() for r in landed.collect() if r.id != "Copy1")
+    assert stored_ids((COMMUNITY, name)) == {original}
+    assert stored_ids((POST, "copy1"), (POST, "copy1")) == {"copy1"}
+    assert stored_ids((COMMUNITY, name), (POST, "copy1"), (None, None)) == {original, "copy1"}
+    assert stored_ids((None, "x")) == set()
+
+
+def test_a_kind_reads_its_own_requests(inputs):
+    requests = routing.written_by_kind(routing.classify_inputs(inputs.requests(), "input"))
+    plan = plan_of(routing.route_by_source(requests)[POST])
+    assert "PartitionFilters: [isnotnull(kind" in plan and "DataFilters: []" in plan
+    assert requests.count() == requests.distinct().count()
