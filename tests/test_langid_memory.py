@@ -2,11 +2,13 @@
 
 import random
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from feedback_engine.operators import langid
+from tests.conftest import plan_of
 
 
 @pytest.fixture
@@ -54,3 +56,17 @@ def test_portions_lose_no_trigram(profile, monkeypatch, cells):
     texts = ["".join(draw.choice("abcdefghijé 漢😀") for _ in range(n)) for n in (0, 2, 19, 20, 21, 22, 27, 60, 100, 103, 250)]
     texts = [*texts[:4], None, *texts[4:], "漢" * 40, "abc" + "漢" * 40, "漢" * 40 + "abc"]
     assert profile.best(texts) == [plainly(profile, text) for text in texts]
+
+
+def test_trigrams_are_counted_before_they_are_shuffled(spark, monkeypatch):
+    texts = ["ab", "", None, "aBcabc", "漢字漢字", "x😀y😀x", "abcabc\n abc", "aa" * 50]
+    rows = [(text, lang) for text in texts for lang in ("en", None, "de", "en")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    expected = Counter(
+        (lang, text.lower()[k : k + 3]) for text, lang in rows if text for k in range(len(text) - 2)
+    )
+    for size in (1, 7, langid.COUNTED):
+        monkeypatch.setattr(langid, "COUNTED", size)
+        got = langid.trigram_counts(df, "text", "lang")
+        assert {(r.lang, r.gram): r.n for r in got.collect()} == expected
+    assert "Generate" not in plan_of(got)
