@@ -106,7 +106,8 @@ def _merge(table: pa.Table) -> pa.Table:
 def _introduce(table: pa.Table) -> pa.Table:
     """Introduces the members of each node to each other; keeps what betters a member's worst neighbour.
 
-    Two members that both were there the round before have met.
+    Two members that both were there the round before have met, and who is
+    among a member's neighbours (``beside``) is no news to it.
     """
     host, member = table["host"].to_numpy(), table["member"].to_numpy()
     order = np.lexsort((member, -table["score"].to_numpy(), host))
@@ -133,7 +134,18 @@ def _introduce(table: pa.Table) -> pa.Table:
         i, j = np.nonzero(value > worst[first][:, None])
         found.append((ids[i], ids[top[i, j]], value[i, j]))
     owner, other, score = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
-    return _graph_table(*_best(owner, other, score, DEGREE))
+    news = ~_known(table, owner, other)
+    return _graph_table(*_best(owner[news], other[news], score[news], DEGREE))
+
+
+def _known(table: pa.Table, owner: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each other is among the neighbours of its owner, a member of ``table``."""
+    members, first = np.unique(table["member"].to_numpy(), return_index=True)
+    beside, row = _flat(table["beside"].take(pa.array(first)))
+    ids = np.unique(np.concatenate((members, other)))
+    held = np.isin(beside, ids)
+    known = np.searchsorted(members, members[row[held]]) * len(ids) + np.searchsorted(ids, beside[held])
+    return np.isin(np.searchsorted(members, owner) * len(ids) + np.searchsorted(ids, other), known)
 
 
 def _bucket(node: str, buckets: int):
@@ -154,11 +166,13 @@ def neighbour_graph(nodes: DataFrame, size: int, buckets: int, seed: int = 0, ro
         return written(lists.groupBy(_bucket("node", buckets)).applyInArrow(_merge, GRAPH), "ann_graph")
 
     # Hosts are dealt out by where they lie, so a node meets most of its hosts in a few tasks, however many there are,
-    # and gets one list from each of those.
-    coarse = max(0, bits - int(np.log2(BUCKET // LEAF)))
-    places = trees.where("tree = 0").select(F.col("node").alias("host"), F.col("side").bitwiseAND((1 << coarse) - 1).alias("place"))
-    crowds = places.groupBy("place").count().select("place", F.ceil(F.col("count") / BUCKET).alias("parts"))
-    places = places.join(crowds, "place").select("host", "place", F.pmod(F.xxhash64("host"), "parts").alias("part"))
+    # and gets one list from each of those: sides in order fill a place each, and only a side that is too large is cut by chance.
+    lies = trees.where("tree = 0").select(F.col("node").alias("host"), "side")
+    before = F.sum("count").over(Window.orderBy("side")) - F.col("count")
+    crowds = lies.groupBy("side").count().select(
+        "side", F.floor(before / BUCKET).alias("place"), F.ceil(F.col("count") / BUCKET).alias("parts")
+    )
+    places = lies.join(crowds, "side").select("host", "place", F.pmod(F.xxhash64("host"), "parts").alias("part"))
     places = written(places, "ann_places")
 
     graph = merged(first)
@@ -168,8 +182,13 @@ def neighbour_graph(nodes: DataFrame, size: int, buckets: int, seed: int = 0, ro
         chosen_by = edges.select(F.col("member").alias("host"), F.col("host").alias("member"), "score", "new")
         nearest = Window.partitionBy("host").orderBy(F.desc("score"), "member")
         chosen_by = chosen_by.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= DEGREE).drop("k")
-        known = nodes.join(graph.select("node", F.try_element_at("scores", F.lit(DEGREE)).alias("worst")), "node", "left")
-        known = known.select(F.col("node").alias("member"), "vector", F.coalesce("worst", F.lit(float("-inf")).cast("float")).alias("worst"))
+        so_far = graph.select("node", F.try_element_at("scores", F.lit(DEGREE)).alias("worst"), F.col("others").alias("beside"))
+        known = nodes.join(so_far, "node", "left").select(
+            F.col("node").alias("member"),
+            "vector",
+            F.coalesce("worst", F.lit(float("-inf")).cast("float")).alias("worst"),
+            F.coalesce("beside", F.array().cast("array<long>")).alias("beside"),
+        )
         rows = edges.unionByName(chosen_by).join(places, "host").join(known, "member")
         news = rows.groupBy("place", "part").applyInArrow(_introduce, GRAPH)
         known_before = graph.withColumn("fresh", F.transform("others", lambda _: F.lit(False)))
