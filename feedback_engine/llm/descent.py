@@ -8,9 +8,11 @@ neighbour so far. A query starts at its own vector and expands the best nodes it
 has met until the best ``BEAM`` are all expanded.
 
 Tables are dealt into buckets of nodes, and tasks work on a bucket with numpy.
-Nothing is collected: rounds are joins and groupings, each written to the shared
-folder. Inner products become similarities of equal norms by one more component,
-so that "neighbour" is symmetric whatever the norms are.
+What one bucket has for the members of another travels as one row, so rows do
+not multiply with the buckets that a member is known in. Nothing is collected:
+rounds are joins and groupings, each written to the shared folder. Inner products
+become similarities of equal norms by one more component, so that "neighbour" is
+symmetric whatever the norms are.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ BEAM, EXPANDED = 200, 40  # best nodes a query keeps, and how many of them it ex
 NEAREST = 20
 QUERIES = 20  # ids divisible by this are queries
 BUCKET = 4096  # nodes expected in a bucket
+HOME = 256  # queries expected in a bucket
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dtype=np.float64) -> np.ndarray:
@@ -96,23 +99,73 @@ def _compare(table: pa.Table) -> pa.Table:
     return _graph_table(*_best(owner, other, score, DEGREE))
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """The nearest of each node, out of all lists known of it."""
-    others, row = _flat(table["others"])
-    scores, old = _flat(table["scores"])[0], ~_flat(table["fresh"])[0].astype(bool)
-    return _graph_table(*_best(table["node"].to_numpy()[row], others, scores, DEGREE, old))
+SEATED = "node long, vector array<float>, bucket int, place long, part long, others array<long>, scores array<float>, fresh array<boolean>"
+
+
+def _seated(seats: pa.Table, owner: np.ndarray, other: np.ndarray, score: np.ndarray, old: np.ndarray) -> pa.Table:
+    """A row for each of ``seats``, with the nearest out of all that is known of it."""
+    owner, other, score, old = _best(owner, other, score, DEGREE, old)
+    nodes = seats["node"].to_numpy()
+    order = np.argsort(nodes)
+    offsets = pa.array(np.append(np.searchsorted(owner, nodes[order]), len(owner)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (other.astype(np.int64), score.astype(np.float32), ~old.astype(bool))]
+    kept = seats.select(["node", "vector", "bucket", "place", "part"]).take(pa.array(order))
+    return pa.table([*kept.columns, *lists], names=[*kept.column_names, "others", "scores", "fresh"])
+
+
+def _seat(key, seats: pa.Table, lists: pa.Table) -> pa.Table:
+    """The nearest of each node of a bucket, out of the lists from all blocks."""
+    others, row = _flat(lists["others"])
+    return _seated(seats, lists["node"].to_numpy()[row], others, _flat(lists["scores"])[0], np.zeros(len(others), bool))
+
+
+def _merge(key, graph: pa.Table, news: pa.Table) -> pa.Table:
+    """The nearest of each node of a bucket, out of those it had and the news from all places."""
+    others, row = _flat(graph["others"])
+    new = [_flat(news[x])[0] for x in ("members", "others", "scores")]
+    owner, other, score = (
+        np.concatenate(x) for x in zip((graph["node"].to_numpy()[row], others, _flat(graph["scores"])[0]), new)
+    )
+    return _seated(graph, owner, other, score, np.arange(len(owner)) < len(others))
+
+
+EDGES = "place long, part long, host long, member long, score float, new boolean"
+
+
+def _members(key, graph: pa.Table, chosen_by: pa.Table) -> pa.Table:
+    """Whom each node of a bucket will introduce: its own neighbours, and the nearest of those that chose it."""
+    others, row = _flat(graph["others"])
+    nodes = graph["node"].to_numpy()
+    own = nodes[row], others, _flat(graph["scores"])[0], _flat(graph["fresh"])[0].astype(bool)
+    theirs = [chosen_by[x].to_numpy(zero_copy_only=False) for x in ("host", "member", "score", "new")]
+    theirs = _best(*theirs[:3], DEGREE, theirs[3].astype(bool))
+    host, member, score, new = (np.concatenate(x) for x in zip(own, theirs))
+    host, member, score, new = _best(host, member, score, MEMBERS, new)
+    order = np.argsort(nodes)
+    at = np.searchsorted(nodes[order], host)
+    # Nobody has news of a host all of whose members have met.
+    some = (np.bincount(at, new, len(nodes)) > 0) & (np.bincount(at, minlength=len(nodes)) > 1)
+    keep = some[at]
+    seat = order[at[keep]]
+    columns = [graph["place"].to_numpy()[seat], graph["part"].to_numpy()[seat], host[keep], member[keep], score[keep].astype(np.float32), new[keep].astype(bool)]
+    return pa.table([pa.array(x) for x in columns], names=["place", "part", "host", "member", "score", "new"])
 
 
 def _introduce(table: pa.Table) -> pa.Table:
     """Introduces the members of each node to each other; keeps what betters a member's worst neighbour.
 
     Two members that both were there the round before have met, and who is
-    among a member's neighbours (``beside``) is no news to it.
+    among a member's neighbours (``beside``) is no news to it. One row of each
+    member has its vector and neighbours; those of its other rows may be null.
     """
+    known = table.filter(table["vector"].is_valid())
+    members, at = np.unique(known["member"].to_numpy(), return_index=True)
+    known = known.take(pa.array(at))
+    vectors, least = _matrix(known["vector"], np.float32), known["worst"].to_numpy()
     host, member = table["host"].to_numpy(), table["member"].to_numpy()
     order = np.lexsort((member, -table["score"].to_numpy(), host))
-    rows, worst = _matrix(table["vector"], np.float32)[order], table["worst"].to_numpy()[order]
     host, member, new = host[order], member[order], table["new"].to_numpy(zero_copy_only=False)[order]
+    at = np.searchsorted(members, member)
     starts = np.flatnonzero(np.concatenate(([True], host[1:] != host[:-1]))) if len(host) else np.empty(0, int)
     found = []
     for a, b in zip(starts.tolist(), np.append(starts, len(host))[1:].tolist()):
@@ -122,7 +175,7 @@ def _introduce(table: pa.Table) -> pa.Table:
         fresh = np.bincount(which, new[a:b], len(ids)) > 0
         nearest = np.argsort(first)[:MEMBERS]
         first, fresh = a + first[nearest], fresh[nearest]
-        ids, some = member[first], rows[first]
+        ids, some, worst = member[first], vectors[at[first]], least[at[first]]
         if len(ids) < 2:
             continue
         score = some @ some.T
@@ -131,21 +184,37 @@ def _introduce(table: pa.Table) -> pa.Table:
         k = min(INTRODUCED, len(ids) - 1)
         top = np.argpartition(-score, k - 1, axis=1)[:, :k]
         value = np.take_along_axis(score, top, 1)
-        i, j = np.nonzero(value > worst[first][:, None])
+        i, j = np.nonzero(value > worst[:, None])
         found.append((ids[i], ids[top[i, j]], value[i, j]))
     owner, other, score = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
-    news = ~_known(table, owner, other)
+    news = ~_known(known, owner, other)
     return _graph_table(*_best(owner[news], other[news], score[news], DEGREE))
 
 
-def _known(table: pa.Table, owner: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Whether each other is among the neighbours of its owner, a member of ``table``."""
-    members, first = np.unique(table["member"].to_numpy(), return_index=True)
-    beside, row = _flat(table["beside"].take(pa.array(first)))
+def _known(known: pa.Table, owner: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each other is among the neighbours of its owner, a member of ``known`` (a row each, in order)."""
+    members = known["member"].to_numpy()
+    beside, row = _flat(known["beside"])
     ids = np.unique(np.concatenate((members, other)))
     held = np.isin(beside, ids)
-    known = np.searchsorted(members, members[row[held]]) * len(ids) + np.searchsorted(ids, beside[held])
-    return np.isin(np.searchsorted(members, owner) * len(ids) + np.searchsorted(ids, other), known)
+    pairs = row[held] * len(ids) + np.searchsorted(ids, beside[held])
+    return np.isin(np.searchsorted(members, owner) * len(ids) + np.searchsorted(ids, other), pairs)
+
+
+NEWS = "bucket int, members array<long>, others array<long>, scores array<float>"
+
+
+def _news(table: pa.Table) -> pa.Table:
+    """The news of a place, a row for each bucket of members that it goes to."""
+    found = _introduce(table)
+    known = table.filter(table["vector"].is_valid())
+    members, at = np.unique(known["member"].to_numpy(), return_index=True)
+    others, row = _flat(found["others"])
+    owner = found["node"].to_numpy()[row]
+    bucket = known["bucket"].to_numpy()[at][np.searchsorted(members, owner)]
+    order = np.argsort(bucket, kind="stable")
+    buckets, lists = _lists(bucket[order], owner[order], others[order], _flat(found["scores"])[0][order])
+    return pa.table([pa.array(buckets, pa.int32()), *lists], names=["bucket", "members", "others", "scores"])
 
 
 def _bucket(node: str, buckets: int):
@@ -162,38 +231,41 @@ def neighbour_graph(nodes: DataFrame, size: int, buckets: int, seed: int = 0, ro
     blocks = trees.join(counts, ["tree", "side"]).select("tree", "side", part, "node", "vector")
     first = blocks.groupBy("tree", "side", "part").applyInArrow(_compare, GRAPH)
 
-    def merged(lists: DataFrame) -> DataFrame:
-        return written(lists.groupBy(_bucket("node", buckets)).applyInArrow(_merge, GRAPH), "ann_graph")
-
-    # Hosts are dealt out by where they lie, so a node meets most of its hosts in a few tasks, however many there are,
-    # and gets one list from each of those: sides in order fill a place each, and only a side that is too large is cut by chance.
-    lies = trees.where("tree = 0").select(F.col("node").alias("host"), "side")
+    # Hosts are dealt out by where they lie, so a node meets many of its hosts in the same task:
+    # sides in order fill a place each, and only a side that is too large is cut by chance.
+    lies = trees.where("tree = 0").select("node", "vector", "side")
     before = F.sum("count").over(Window.orderBy("side")) - F.col("count")
     crowds = lies.groupBy("side").count().select(
         "side", F.floor(before / BUCKET).alias("place"), F.ceil(F.col("count") / BUCKET).alias("parts")
     )
-    places = lies.join(crowds, "side").select("host", "place", F.pmod(F.xxhash64("host"), "parts").alias("part"))
-    places = written(places, "ann_places")
-
-    graph = merged(first)
+    seats = lies.join(crowds, "side").select(
+        "node", "vector", _bucket("node", buckets).alias("bucket"), "place", F.pmod(F.xxhash64("node"), "parts").alias("part")
+    )
+    graph = seats.groupBy("bucket").cogroup(first.groupBy(_bucket("node", buckets))).applyInArrow(_seat, SEATED)
+    graph = written(graph, "ann_graph")
     for _ in range(rounds):
-        edges = graph.select(F.col("node").alias("host"), F.posexplode("others").alias("k", "member"), "scores", "fresh")
-        edges = edges.select("host", "member", F.get("scores", F.col("k")).alias("score"), F.get("fresh", F.col("k")).alias("new"))
-        chosen_by = edges.select(F.col("member").alias("host"), F.col("host").alias("member"), "score", "new")
-        nearest = Window.partitionBy("host").orderBy(F.desc("score"), "member")
-        chosen_by = chosen_by.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= DEGREE).drop("k")
-        so_far = graph.select("node", F.try_element_at("scores", F.lit(DEGREE)).alias("worst"), F.col("others").alias("beside"))
-        known = nodes.join(so_far, "node", "left").select(
+        chosen = graph.select("node", F.explode(F.arrays_zip("others", "scores", "fresh")).alias("x"))
+        chosen_by = chosen.select(
+            F.col("x.others").alias("host"), F.col("node").alias("member"), F.col("x.scores").alias("score"), F.col("x.fresh").alias("new")
+        )
+        both = graph.groupBy("bucket").cogroup(chosen_by.groupBy(_bucket("host", buckets)))
+        edges = both.applyInArrow(_members, EDGES).repartition("member")
+        # A member's vector and neighbours go to a place once, with the first of its hosts there.
+        again = F.row_number().over(Window.partitionBy("member", "place", "part").orderBy("host"))
+        known = graph.select(
             F.col("node").alias("member"),
+            "bucket",
             "vector",
-            F.coalesce("worst", F.lit(float("-inf")).cast("float")).alias("worst"),
-            F.coalesce("beside", F.array().cast("array<long>")).alias("beside"),
+            F.coalesce(F.try_element_at("scores", F.lit(DEGREE)), F.lit(float("-inf")).cast("float")).alias("worst"),
+            F.col("others").alias("beside"),
         )
-        rows = edges.unionByName(chosen_by).join(places, "host").join(known, "member")
-        news = rows.groupBy("place", "part").applyInArrow(_introduce, GRAPH)
-        known_before = graph.withColumn("fresh", F.transform("others", lambda _: F.lit(False)))
-        graph = merged(known_before.unionByName(news))
-    return graph.drop("fresh")
+        rows = edges.withColumn("again", again).join(known, "member")
+        once = [F.when(F.col("again") == 1, F.col(x)).alias(x) for x in ("bucket", "vector", "worst", "beside")]
+        rows = rows.select("place", "part", "host", "member", "score", "new", *once)
+        news = rows.groupBy("place", "part").applyInArrow(_news, NEWS)
+        graph = graph.groupBy("bucket").cogroup(news.groupBy("bucket")).applyInArrow(_merge, SEATED)
+        graph = written(graph, "ann_graph")
+    return graph.select("node", "others", "scores")
 
 
 def _sides(bits: int, seed: int):
@@ -211,34 +283,86 @@ def _sides(bits: int, seed: int):
     return run
 
 
-STATE = "query long, others array<long>, scores array<double>, expanded array<boolean>"
+STATE = "query long, home int, vector array<double>, others array<long>, scores array<double>, expanded array<boolean>, now array<long>"
+WANTED = "home int, room int, queries array<long>, vectors array<double>, counts array<int>, others array<long>"
+SCORED = "home int, queries array<long>, others array<long>, scores array<double>"
+
+
+def _start(batches):
+    """A query starts at its own vector, which it expands first."""
+    for batch in batches:
+        if batch.num_rows:
+            rows, own = _matrix(batch.column(2)), pa.array(np.arange(batch.num_rows + 1), pa.int32())
+            lists = batch.column(0), pa.array((rows * rows).sum(axis=1)), pa.array(np.ones(batch.num_rows, bool)), batch.column(0)
+            columns = [*batch.columns, *(pa.ListArray.from_arrays(own, x) for x in lists)]
+            yield pa.RecordBatch.from_arrays(columns, names=["query", "home", "vector", "others", "scores", "expanded", "now"])
+
+
+def _wanted(key, state: pa.Table, asked: pa.Table) -> pa.Table:
+    """What the queries of a bucket (home) have not met of those beside the nodes they expand, a row for each bucket (room) that it is in."""
+    order = np.argsort(state["query"].to_numpy())
+    queries = state["query"].to_numpy()[order]
+    beside, row = _flat(asked["beside"])
+    rooms = _flat(asked["rooms"])[0]
+    met, whose = _flat(state["others"])
+    ids = np.unique(np.concatenate((beside, met)))
+    pair = np.searchsorted(queries, asked["query"].to_numpy()[row]) * len(ids) + np.searchsorted(ids, beside)
+    had = np.searchsorted(queries, state["query"].to_numpy()[whose]) * len(ids) + np.searchsorted(ids, met)
+    pair, first = np.unique(pair, return_index=True)
+    new = ~np.isin(pair, had)
+    at, other, room = pair[new] // max(1, len(ids)), beside[first[new]], rooms[first[new]]
+    by_room = np.lexsort((at, room))
+    at, other, room = at[by_room], other[by_room], room[by_room]
+    starts = np.flatnonzero(np.concatenate(([True], (room[1:] != room[:-1]) | (at[1:] != at[:-1])))) if len(at) else np.empty(0, int)
+    vectors = _matrix(state["vector"])[order]
+    counts = np.diff(np.append(starts, len(at))).astype(np.int32)
+    rooms, (asking, lengths) = _lists(room[starts], queries[at[starts]], counts)
+    rows = pa.array(np.append(0, np.cumsum(asking.value_lengths().to_numpy() * vectors.shape[1])).astype(np.int32))
+    flat = pa.ListArray.from_arrays(rows, pa.array(vectors[at[starts]].ravel()))
+    _, (others,) = _lists(room, other)
+    home = pa.array(np.full(len(rooms), key[0].as_py(), np.int32))
+    return pa.table([home, pa.array(rooms, pa.int32()), asking, flat, lengths, others], names=["home", "room", "queries", "vectors", "counts", "others"])
 
 
 def _score(key, wanted: pa.Table, known: pa.Table) -> pa.Table:
     """Inner products of the queries with the nodes they want, of one bucket of nodes."""
     if not wanted.num_rows or not known.num_rows:
-        return pa.table({"query": pa.array([], pa.int64()), "others": pa.array([], pa.list_(pa.int64())), "scores": pa.array([], pa.list_(pa.float64())), "expanded": pa.array([], pa.list_(pa.bool_()))})
+        lists = [pa.array([], pa.list_(x)) for x in (pa.int64(), pa.int64(), pa.float64())]
+        return pa.table([pa.array([], pa.int32()), *lists], names=["home", "queries", "others", "scores"])
     nodes = known["node"].to_numpy()
     order = np.argsort(nodes)
     rows, nodes = _matrix(known["plain"])[order], nodes[order]
-    others, row = _flat(wanted["others"])
-    queries, vectors = wanted["query"].to_numpy(), _matrix(wanted["vector"])
+    others, whose = _flat(wanted["others"])
+    queries = _flat(wanted["queries"])[0]
+    vectors = _flat(wanted["vectors"])[0].reshape(len(queries), -1)
+    row = np.repeat(np.arange(len(queries)), _flat(wanted["counts"])[0])
     at = np.searchsorted(nodes, others)
     score = np.empty(len(others))
     for k in range(0, len(others), 65536):
         some = slice(k, k + 65536)
         score[some] = (rows[at[some]] * vectors[row[some]]).sum(axis=1)
-    owners, (a, b, c) = _lists(row, others, score, np.zeros(len(others), bool))
-    return pa.table({"query": pa.array(queries[owners]), "others": a, "scores": b, "expanded": c})
-
-
-def _keep(table: pa.Table) -> pa.Table:
-    """The best nodes of each query, and whether they were expanded."""
-    others, row = _flat(table["others"])
-    scores, expanded = _flat(table["scores"])[0], _flat(table["expanded"])[0].astype(bool)
-    query, others, scores, expanded = _best(table["query"].to_numpy()[row], others, scores, BEAM, expanded)
-    queries, (a, b, c) = _lists(query, others.astype(np.int64), scores.astype(np.float64), expanded)
-    return pa.table({"query": pa.array(queries, pa.int64()), "others": a, "scores": b, "expanded": c})
+    homes, lists = _lists(whose, queries[row], others, score)
+    return pa.table([wanted["home"].take(pa.array(homes)), *lists], names=["home", "queries", "others", "scores"])
+
+
+def _keep(key, state: pa.Table, scored: pa.Table) -> pa.Table:
+    """The best nodes of each query of a bucket, and which of them it expands now."""
+    others, row = _flat(state["others"])
+    more = _flat(scored["others"])[0]
+    query = np.concatenate((state["query"].to_numpy()[row], _flat(scored["queries"])[0]))
+    scores = np.concatenate((_flat(state["scores"])[0], _flat(scored["scores"])[0]))
+    expanded = np.concatenate((_flat(state["expanded"])[0].astype(bool), np.zeros(len(more), bool)))
+    query, others, scores, expanded = _best(query, np.concatenate((others, more)), scores, BEAM, expanded)
+    # Every query has met one node at least, its own.
+    open_ = np.cumsum(~expanded)
+    starts = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1]))) if len(query) else np.empty(0, int)
+    before = np.repeat(open_[starts] - ~expanded[starts], np.diff(np.append(starts, len(query))))
+    chosen = ~expanded & (open_ - before <= EXPANDED)
+    queries, (a, b, c) = _lists(query, others.astype(np.int64), scores.astype(np.float64), expanded | chosen)
+    ends = np.append(0, np.cumsum(np.add.reduceat(chosen, starts, dtype=int) if len(starts) else []))
+    now = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(others[chosen].astype(np.int64)))
+    rows = state.select(["query", "home", "vector"]).take(pa.array(np.argsort(state["query"].to_numpy())))
+    return pa.table([*rows.columns, a, b, c, now], names=["query", "home", "vector", "others", "scores", "expanded", "now"])
 
 
 def graph_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, buckets: int) -> DataFrame:
@@ -253,32 +377,21 @@ def graph_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, buckets
     reverse = Window.partitionBy("node").orderBy(F.xxhash64("other"), "other")
     more = links.select(F.col("other").alias("node"), F.col("node").alias("other"))
     more = more.withColumn("k", F.row_number().over(reverse)).where(F.col("k") <= DEGREE).drop("k")
-    adjacent = links.unionByName(more).groupBy("node").agg(F.collect_set("other").alias("beside"))
-    adjacent = written(adjacent, "ann_adjacent")
+    beside = F.collect_set(F.struct("other", _bucket("other", buckets).alias("room"))).alias("x")
+    adjacent = links.unionByName(more).groupBy("node").agg(beside)
+    adjacent = written(adjacent.select("node", F.col("x.other").alias("beside"), F.col("x.room").alias("rooms")), "ann_adjacent")
     known = nodes.select("node", "plain", _bucket("node", buckets).alias("bucket"))
 
-    def scored(wanted: DataFrame) -> DataFrame:
-        """Rows of state for (query, other)."""
-        lists = wanted.groupBy("query", _bucket("other", buckets).alias("bucket")).agg(F.collect_set("other").alias("others"))
-        lists = lists.join(queries, "query")
-        return lists.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_score, STATE)
-
-    def kept(rows: DataFrame) -> DataFrame:
-        return written(rows.groupBy(_bucket("query", buckets)).applyInArrow(_keep, STATE), "ann_state")
-
-    state = kept(scored(queries.select("query", F.col("query").alias("other"))))
-    while True:
-        open_ = F.filter(F.arrays_zip("others", "expanded"), lambda x: ~x["expanded"])
-        now = F.slice(F.transform(open_, lambda x: x["others"]), 1, EXPANDED)
-        chosen = state.select("query", "others", "scores", "expanded", now.alias("now"))
-        if chosen.where(F.size("now") > 0).isEmpty():
-            return state.select("query", "others", "scores")
-        wanted = chosen.select("query", F.explode("now").alias("node")).join(adjacent, "node")
-        wanted = wanted.select("query", F.explode("beside").alias("other")).distinct()
-        met = state.select("query", F.explode("others").alias("other"))
-        wanted = wanted.join(met, ["query", "other"], "left_anti")
-        marked = F.transform(F.arrays_zip("others", "expanded"), lambda x: x["expanded"] | F.array_contains("now", x["others"]))
-        state = kept(chosen.select("query", "others", "scores", marked.alias("expanded")).unionByName(scored(wanted)))
+    homes = max(1, -(-queries.count() // HOME))
+    first = queries.select("query", _bucket("query", homes).alias("home"), F.col("vector").cast("array<double>").alias("vector"))
+    state = written(first.mapInArrow(_start, STATE), "ann_state")
+    while not state.where(F.size("now") > 0).isEmpty():
+        asked = state.select(F.col("query").alias("query"), F.col("home").alias("home"), F.explode("now").alias("node"))
+        asked = asked.join(adjacent, "node").select("query", "home", "beside", "rooms")
+        wanted = state.groupBy("home").cogroup(asked.groupBy("home")).applyInArrow(_wanted, WANTED)
+        scored = wanted.groupBy("room").cogroup(known.groupBy("bucket")).applyInArrow(_score, SCORED)
+        state = written(state.groupBy("home").cogroup(scored.groupBy("home")).applyInArrow(_keep, STATE), "ann_state")
+    return state.select("query", "others", "scores")
 
 
 def nearest_neighbours(vectors: DataFrame, every: int = QUERIES, nearest: int = NEAREST) -> DataFrame:
