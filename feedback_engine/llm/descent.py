@@ -30,8 +30,9 @@ ROUNDS = 5
 TREES, LEAF = 6, 512  # first comparisons: sets of hyperplanes, and vectors expected on the same sides
 BLOCK = 1024  # at most about so many vectors are compared all against all
 MEMBERS = 48  # neighbours that a node introduces to each other: its own, and the nearest of those that chose it
+HOSTS = 256  # hosts whose introductions are computed at once
 INTRODUCED = 6  # new acquaintances that one introduction may give to a vector
-BEAM, EXPANDED = 200, 40  # best nodes a query keeps, and how many of them it expands in a round
+BEAM, EXPANDED = 200, 100  # best nodes a query keeps, and how many of them it expands in a round
 NEAREST = 20
 QUERIES = 20  # ids divisible by this are queries
 BUCKET = 4096  # nodes expected in a bucket
@@ -57,6 +58,11 @@ def _lists(owner: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[pa.
     return owner[starts], [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in values]
 
 
+def _among(values: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Whether each value is one of sorted ``held``."""
+    return held[np.minimum(np.searchsorted(held, values), len(held) - 1)] == values if len(held) else np.zeros(len(values), bool)
+
+
 def _best(owner: np.ndarray, other: np.ndarray, score: np.ndarray, most: int, *more: np.ndarray) -> list[np.ndarray]:
     """The ``most`` others of the highest score of each owner, every pair once, sorted by owner and score."""
     order = np.lexsort((other, owner))
@@ -162,30 +168,28 @@ def _introduce(table: pa.Table) -> pa.Table:
     members, at = np.unique(known["member"].to_numpy(), return_index=True)
     known = known.take(pa.array(at))
     vectors, least = _matrix(known["vector"], np.float32), known["worst"].to_numpy()
-    host, member = table["host"].to_numpy(), table["member"].to_numpy()
-    order = np.lexsort((member, -table["score"].to_numpy(), host))
-    host, member, new = host[order], member[order], table["new"].to_numpy(zero_copy_only=False)[order]
+    edges = [table[x].to_numpy(zero_copy_only=False) for x in ("host", "member", "score", "new")]
+    host, member, _, new = _best(*edges[:3], MEMBERS, edges[3].astype(bool))
     at = np.searchsorted(members, member)
     starts = np.flatnonzero(np.concatenate(([True], host[1:] != host[:-1]))) if len(host) else np.empty(0, int)
+    lengths = np.diff(np.append(starts, len(host)))
     found = []
-    for a, b in zip(starts.tolist(), np.append(starts, len(host))[1:].tolist()):
-        if not new[a:b].any():
-            continue
-        ids, first, which = np.unique(member[a:b], return_index=True, return_inverse=True)
-        fresh = np.bincount(which, new[a:b], len(ids)) > 0
-        nearest = np.argsort(first)[:MEMBERS]
-        first, fresh = a + first[nearest], fresh[nearest]
-        ids, some, worst = member[first], vectors[at[first]], least[at[first]]
-        if len(ids) < 2:
+    for first in range(0, len(starts), HOSTS):
+        # The members of so many hosts, a row each; places that a host has no member for count for nothing.
+        length, place = lengths[first : first + HOSTS, None], np.arange(lengths[first : first + HOSTS].max())
+        there = place < length
+        edge = np.where(there, starts[first : first + HOSTS, None] + place, 0)
+        some, fresh = vectors[at[edge]], new[edge]
+        score = some @ some.transpose(0, 2, 1)
+        score[~(there[:, None, :] & there[:, :, None] & (fresh[:, None, :] | fresh[:, :, None]))] = -np.inf
+        score[:, place, place] = -np.inf
+        k = min(INTRODUCED, len(place) - 1)
+        if k < 1:
             continue
-        score = some @ some.T
-        score[~(fresh[:, None] | fresh)] = -np.inf
-        np.fill_diagonal(score, -np.inf)
-        k = min(INTRODUCED, len(ids) - 1)
-        top = np.argpartition(-score, k - 1, axis=1)[:, :k]
-        value = np.take_along_axis(score, top, 1)
-        i, j = np.nonzero(value > worst[:, None])
-        found.append((ids[i], ids[top[i, j]], value[i, j]))
+        top = np.argpartition(-score, k - 1, axis=2)[:, :, :k]
+        value = np.take_along_axis(score, top, 2)
+        h, i, j = np.nonzero(value > least[at[edge]][:, :, None])
+        found.append((member[edge[h, i]], member[edge[h, top[h, i, j]]], value[h, i, j]))
     owner, other, score = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
     news = ~_known(known, owner, other)
     return _graph_table(*_best(owner[news], other[news], score[news], DEGREE))
@@ -196,9 +200,9 @@ def _known(known: pa.Table, owner: np.ndarray, other: np.ndarray) -> np.ndarray:
     members = known["member"].to_numpy()
     beside, row = _flat(known["beside"])
     ids = np.unique(np.concatenate((members, other)))
-    held = np.isin(beside, ids)
+    held = _among(beside, ids)
     pairs = row[held] * len(ids) + np.searchsorted(ids, beside[held])
-    return np.isin(np.searchsorted(members, owner) * len(ids) + np.searchsorted(ids, other), pairs)
+    return _among(np.searchsorted(members, owner) * len(ids) + np.searchsorted(ids, other), np.sort(pairs))
 
 
 NEWS = "bucket int, members array<long>, others array<long>, scores array<float>"
@@ -309,7 +313,7 @@ def _wanted(key, state: pa.Table, asked: pa.Table) -> pa.Table:
     pair = np.searchsorted(queries, asked["query"].to_numpy()[row]) * len(ids) + np.searchsorted(ids, beside)
     had = np.searchsorted(queries, state["query"].to_numpy()[whose]) * len(ids) + np.searchsorted(ids, met)
     pair, first = np.unique(pair, return_index=True)
-    new = ~np.isin(pair, had)
+    new = ~_among(pair, np.sort(had))
     at, other, room = pair[new] // max(1, len(ids)), beside[first[new]], rooms[first[new]]
     by_room = np.lexsort((at, room))
     at, other, room = at[by_room], other[by_room], room[by_room]

@@ -80,3 +80,39 @@ def test_graph_does_not_depend_on_the_number_of_buckets(spark, monkeypatch):
             assert len(set(r.others)) == len(r.others) == descent.DEGREE and r.node not in r.others
             assert r.scores == sorted(r.scores, reverse=True)
         assert sum(len({*near[k].tolist()} & {*r.others}) for k, r in graph.items()) >= 0.98 * near.size
+
+
+def test_introductions_are_those_of_each_host(monkeypatch):
+    """Hosts of one member to more than they introduce, a few at a time, against a loop over hosts and members."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(descent, "HOSTS", 7)
+    monkeypatch.setattr(descent, "MEMBERS", 10)
+    vectors = rng.normal(size=(50, 8)).astype(np.float32)
+    worst = rng.normal(size=50).astype(np.float32)
+    rows, wanted = [], {}
+    for host in range(40):
+        score = rng.random(14)
+        members = rng.choice(50, int(rng.integers(1, 15)), replace=False)
+        new = rng.random(len(members)) < 0.4
+        rows += [(host, int(m), float(score[k]), bool(new[k])) for k, m in enumerate(members)]
+        near = np.argsort(-score[: len(members)])[:10]
+        for a in near:
+            met = [(float(vectors[members[a]] @ vectors[members[b]]), int(members[b])) for b in near if b != a and (new[a] or new[b])]
+            for value, other in sorted(met, reverse=True)[: descent.INTRODUCED]:
+                if value > worst[members[a]]:
+                    wanted.setdefault(int(members[a]), {})[other] = value
+    host, member, score, new = zip(*rows)
+    table = pa.table(
+        {
+            "host": pa.array(host, pa.int64()),
+            "member": pa.array(member, pa.int64()),
+            "score": pa.array(score, pa.float32()),
+            "new": pa.array(new),
+            "vector": pa.array([vectors[m].tolist() for m in member], pa.list_(pa.float32())),
+            "worst": pa.array([worst[m] for m in member], pa.float32()),
+            "beside": pa.array([[]] * len(member), pa.list_(pa.int64())),
+        }
+    )
+    found = descent._introduce(table).to_pylist()
+    best = {m: sorted(x, key=lambda o: -x[o])[: descent.DEGREE] for m, x in wanted.items()}
+    assert {r["node"]: r["others"] for r in found} == best
