@@ -8,14 +8,17 @@ every bucket moves to the class that raises the likelihood of the class bigrams
 most, and the counting starts again. Counts of single words are exact.
 
 Texts are tokenised once, into chunks of bounded size with a vocabulary of their
-own, and all later passes read those. What is summed over chunks is either exact
-word counts, dealt out by hash, or tables whose size the parameters fix; these
-are summed in a tree, and only they reach the driver.
+own, and all later passes read those. Numbers and words of a chunk are packed
+bytes there, so that neither the executor nor its workers hold them as arrays of
+a row each while they are moved, and a worker unpacks one chunk at a time. What is
+summed over chunks is either exact word counts, dealt out by hash, or tables whose
+size the parameters fix; these are summed in a tree, and only they reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -25,21 +28,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedback_engine.llm.common import remainder, written
+from feedback_engine.llm.common import give_back, portions, remainder, written
 
 FOLDS, HELD_OUT = 7, 2
 BUCKETS, CLASSES = 1 << 16, 32
 ROUNDS = 3
 CHUNK = 6_000_000  # bytes of text in a chunk, if no single text has more
+SLICE = 250_000  # bytes of text that are read, and tokens that are scored, at once, if no single text has more
 WORDS_IN_RANGE = 400_000  # expected entries of vocabularies that one task sums
 FAN_IN = 16  # tables summed by one task of the tree
 PRIOR = 1.0  # weight of class frequencies in the smoothing of transitions
 # Texts end with a token of its own, and its class is also what precedes their first word.
 END = CLASSES
 
+# Words are joined by line ends, which none of them holds; ``buckets`` and ``seen`` have a number for each of them.
 CHUNKS = (
-    "chunk long, words array<binary>, seen array<int>, ids array<{}>, learned array<boolean>, held array<boolean>, "
-    "ends array<int>, tokens array<int>"
+    "chunk long, n_words int, words binary, buckets binary, seen binary, ids array<{}>, learned array<boolean>, held array<boolean>, "
+    "ends array<int>, tokens binary"
 )
 
 
@@ -54,40 +59,42 @@ def chunked(docs: DataFrame) -> DataFrame:
     )
     id_type = given.schema["doc_id"].dataType.simpleString()
 
-    def packed(number: int, rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-        flat = [word for row in rows for word in row[1]]
-        words = list(dict.fromkeys(flat))
-        number_of = dict(zip(words, range(len(words))))
-        tokens = np.fromiter(map(number_of.__getitem__, flat), np.int32, len(flat))
-        sizes = [len(row[1]) for row in rows]
+    def packed(number: int, rows: list[tuple], number_of: dict[bytes, int], kind: pa.DataType) -> pa.RecordBatch:
+        words, sizes = list(number_of), [len(row[1]) for row in rows]
+        tokens = np.concatenate([row[1] for row in rows])
         learned = np.repeat(np.array([row[2] for row in rows], bool), sizes)
         seen = np.bincount(tokens[learned], minlength=len(words)).astype(np.int32)
         columns = [
             pa.array([(TaskContext.get().partitionId() << 32) + number], pa.int64()),
-            pa.array([words], pa.list_(pa.binary())),
-            _one_list(seen),
+            pa.array([len(words)], pa.int32()),
+            pa.array([_squeezed(np.frombuffer(b"\n".join(words), np.uint8))], pa.binary()),
+            pa.array([_squeezed(_buckets(_hashes(words)).astype(np.int32))], pa.binary()),
+            pa.array([_squeezed(seen)], pa.binary()),
             pa.array([[row[0] for row in rows]], pa.list_(kind)),
             pa.array([[row[2] for row in rows]], pa.list_(pa.bool_())),
             pa.array([[row[3] for row in rows]], pa.list_(pa.bool_())),
             _one_list(np.cumsum(sizes).astype(np.int32)),
-            _one_list(tokens),
+            pa.array([_squeezed(tokens)], pa.binary()),
         ]
-        names = ["chunk", "words", "seen", "ids", "learned", "held", "ends", "tokens"]
+        names = ["chunk", "n_words", "words", "buckets", "seen", "ids", "learned", "held", "ends", "tokens"]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, number, kind = [], 0, 0, pa.int64()
-        for batch in batches:
+        rows, number_of, size, number, kind = [], {}, 0, 0, pa.int64()
+        for batch in portions(batches, 1, SLICE):
             kind = batch.column(0).type
             for row in zip(*(column.to_pylist() for column in batch.columns)):
                 text = (row[1] or "").encode().lower()
-                rows.append((row[0], text.split(), row[2], row[3]))
+                words = text.split()
+                for word in dict.fromkeys(words):
+                    number_of.setdefault(word, len(number_of))
+                rows.append((row[0], np.fromiter(map(number_of.__getitem__, words), np.int32, len(words)), row[2], row[3]))
                 size += len(text)
                 if size >= CHUNK:
-                    yield packed(number, rows, kind)
-                    rows, size, number = [], 0, number + 1
+                    yield packed(number, rows, number_of, kind)
+                    rows, number_of, size, number = [], {}, 0, number + 1
         if rows:
-            yield packed(number, rows, kind)
+            yield packed(number, rows, number_of, kind)
 
     return given.mapInArrow(run, CHUNKS.format(id_type))
 
@@ -100,36 +107,47 @@ def _values(batch: pa.RecordBatch | pa.Table, name: str, row: int) -> np.ndarray
     return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
 
-def _hashes(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    return pd.util.hash_array(_values(batch, "words", row).astype(object), categorize=False)
+def _squeezed(values: np.ndarray) -> bytes:
+    """``values`` by place of their bytes, compressed; the first eight bytes have the size."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return planes.nbytes.to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _restored(batch: pa.RecordBatch | pa.Table, name: str, row: int, kind: type = np.int32) -> np.ndarray:
+    packed = batch.column(name)[row].as_py()
+    planes = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return pd.util.hash_array(np.array(words, object), categorize=False)
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
-def _neighbours(batch: pa.RecordBatch, row: int, class_of: np.ndarray, bucket: np.ndarray):
-    """Of the training rows' tokens and ends: bucket (``BUCKETS`` for an end), class, class before, class after."""
-    tokens, ends = _values(batch, "tokens", row), _values(batch, "ends", row)
+def _neighbours(batch: pa.RecordBatch, row: int, class_of: np.ndarray):
+    """Of the training rows' tokens and ends: bucket (``BUCKETS`` for an end), class before, class after."""
+    tokens, ends = _restored(batch, "tokens", row), _values(batch, "ends", row)
     learned = _values(batch, "learned", row)
     sizes = np.diff(np.concatenate(([0], ends)))
     tokens, sizes = tokens[np.repeat(learned, sizes)], sizes[learned]
     stops = np.cumsum(sizes + 1) - 1
-    which = np.full(len(tokens) + len(sizes), BUCKETS, np.int64)
+    which = np.full(len(tokens) + len(sizes), BUCKETS, np.int32)
     inner = np.ones(len(which), bool)
     inner[stops] = False
-    which[inner] = bucket[tokens]
-    classes = class_of[which]
-    before = np.concatenate(([END], classes[:-1])) if len(classes) else classes
-    after = np.concatenate((classes[1:], [END])) if len(classes) else classes
-    return which, classes, before, after
+    which[inner] = _restored(batch, "buckets", row)[tokens]
+    classes = class_of.astype(np.int32)[which]
+    end = np.full(min(len(classes), 1), END, np.int32)
+    return which, np.concatenate((end, classes[:-1])), np.concatenate((classes[1:], end))
 
 
 TABLE = "node long, packed binary"
 
 
 def _packed(node: int, table: np.ndarray) -> dict:
-    return {"node": node, "packed": pa.compress(table.astype(np.int64).tobytes(), "zstd", asbytes=True)}
+    return {"node": node, "packed": pa.compress(pa.py_buffer(table.astype(np.int64, copy=False)), "zstd", asbytes=True)}
 
 
 def _unpacked(packed: bytes, size: int) -> np.ndarray:
@@ -141,20 +159,26 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema)
 
 
-def summed(tables: DataFrame, size: int) -> np.ndarray:
-    """Sum of the packed tables of ``size`` numbers, by a tree of tasks that add ``FAN_IN`` each."""
+def summed(tables: DataFrame, count: int, size: int) -> np.ndarray:
+    """Sum of at most ``count`` packed tables of ``size`` numbers, by a tree of tasks that add ``FAN_IN`` or so each."""
+
+    def adder(groups: int):
+        def add(group: pa.Table) -> pa.Table:
+            total = np.zeros(size, np.int64)
+            for packed in group["packed"]:
+                total += _unpacked(packed.as_py(), size)
+            made = pa.Table.from_batches([_batch([_packed(group["node"][0].as_py() % groups, total)])])
+            give_back()
+            return made
 
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(_unpacked(packed, size) for packed in group["packed"].to_pylist())
-        return pa.Table.from_batches([_batch([_packed(min(group["node"].to_pylist()), total)])])
+        return add
 
-    tables = written(tables, "brown_tables")
-    count = tables.count()
-    while count > FAN_IN:
-        groups = -(-count // FAN_IN)
-        dealt = F.pmod(F.xxhash64("node"), F.lit(groups)) if groups > 4 * FAN_IN else F.col("node") % groups
-        tables = written(tables.groupBy(dealt).applyInArrow(add, TABLE), "brown_tables")
-        count = tables.count()
+    # Added up at least once, so that small inputs go the way of large ones and the driver gets few.
+    while True:
+        count = max(1, -(-count // FAN_IN))
+        tables = tables.groupBy(F.col("node") % count).applyInArrow(adder(count), TABLE)
+        if count <= FAN_IN:
+            break
     rows = tables.select("packed").toArrow()["packed"].to_pylist()
     return sum((_unpacked(packed, size) for packed in rows), np.zeros(size, np.int64))
 
@@ -170,15 +194,15 @@ def contexts(chunks: DataFrame, class_of: np.ndarray) -> np.ndarray:
         total = np.zeros(size, np.int32)
         for batch in batches:
             for row in range(batch.num_rows):
-                which, _, before, after = _neighbours(batch, row, class_of, _buckets(_hashes(batch, row)))
-                for code in (which * CONTEXT + before, which * CONTEXT + CLASSES + 1 + after):
-                    at, n = np.unique(code, return_counts=True)
-                    total[at] += n.astype(np.int32)
+                which, before, after = _neighbours(batch, row, class_of)
+                np.add.at(total, which * CONTEXT + before, np.int32(1))
+                np.add.at(total, which * CONTEXT + CLASSES + 1 + after, np.int32(1))
         if total.any():
             yield _batch([_packed(TaskContext.get().partitionId(), total)])
+        give_back()
 
-    read = chunks.select("words", "learned", "ends", "tokens")
-    return summed(read.mapInArrow(run, TABLE), size).reshape(BUCKETS + 1, CONTEXT)
+    read = chunks.select("buckets", "learned", "ends", "tokens")
+    return summed(read.mapInArrow(run, TABLE), read.rdd.getNumPartitions(), size).reshape(BUCKETS + 1, CONTEXT)
 
 
 def exchanged(context: np.ndarray, class_of: np.ndarray, step: int = 512) -> np.ndarray:
@@ -236,32 +260,37 @@ def word_counts(chunks: DataFrame, class_of: np.ndarray) -> DataFrame:
 
     ``stats`` is given once a range: how many words and tokens each class has, and how many words occur once and twice.
     """
-    entries = chunks.agg(F.sum(F.size("words"))).first()[0] or 0
+    entries = chunks.agg(F.sum("n_words")).first()[0] or 0
     ranges = max(1, -(-entries // WORDS_IN_RANGE))
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                hashes, seen = _hashes(batch, row), _values(batch, "seen", row)
+                words, seen = _restored(batch, "words", row, np.uint8).tobytes().split(), _restored(batch, "seen", row)
+                hashes = _hashes(words)
                 part = (hashes % np.uint64(ranges)).astype(np.int32)
                 order = np.argsort(part, kind="stable").astype(np.int32)
-                cuts = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=ranges)))).astype(np.int32)
-                offsets = pa.array(cuts)
-                words = batch.column("words")[row].values.take(pa.array(order))
+                words = [words[k] for k in order.tolist()]
+                cuts = np.concatenate(([0], np.cumsum(np.bincount(part, minlength=ranges)))).tolist()
+                spans = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
                 columns = [
                     pa.array(np.arange(ranges, dtype=np.int32)),
                     pa.array(np.full(ranges, batch.column("chunk")[row].as_py(), np.int64)),
-                    pa.ListArray.from_arrays(offsets, pa.array(order)),
-                    pa.ListArray.from_arrays(offsets, words),
-                    pa.ListArray.from_arrays(offsets, pa.array(seen[order])),
+                    pa.array([order[some].tobytes() for some in spans], pa.binary()),
+                    pa.array([b"\n".join(words[some]) for some in spans], pa.binary()),
+                    pa.array([seen[order[some]].tobytes() for some in spans], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "chunk", "local", "words", "seen"])
+        give_back()
 
     def count(table: pa.Table) -> pa.Table:
-        words = table["words"].combine_chunks()
-        coded = words.flatten().dictionary_encode()
+        words = [value.as_py().split() for value in table["words"]]
+        sizes = list(map(len, words))
+        coded = pa.array(chain.from_iterable(words), pa.binary(), size=sum(sizes)).dictionary_encode()
+        del words
         code = coded.indices.to_numpy()
-        total = np.bincount(code, table["seen"].combine_chunks().flatten().to_numpy(), len(coded.dictionary)).astype(np.int64)
+        seen = np.frombuffer(b"".join(table["seen"].to_pylist()), np.int32)
+        total = np.bincount(code, seen, len(coded.dictionary)).astype(np.int64)
         hashes = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False).astype(object), categorize=False)
         classes, known = class_of[_buckets(hashes)], total > 0
         stats = np.concatenate((
@@ -269,14 +298,14 @@ def word_counts(chunks: DataFrame, class_of: np.ndarray) -> DataFrame:
             np.bincount(classes, total, CLASSES + 1).astype(np.int64),
             [(total == 1).sum(), (total == 2).sum()],
         ))
-        given = pa.array([stats.tolist(), *[None] * (len(words) - 1)], pa.list_(pa.int64()))
-        counts = pa.ListArray.from_arrays(pa.array(words.offsets.to_numpy() - words.offsets[0].as_py(), pa.int32()), pa.array(total[code]))
+        given = pa.array([stats.tolist(), *[None] * (len(sizes) - 1)], pa.list_(pa.int64()))
+        ends = np.cumsum(sizes)
+        counts = pa.array([total[code[end - size : end]].tobytes() for size, end in zip(sizes, ends)], pa.binary())
+        give_back()
         return pa.table({"chunk": table["chunk"], "local": table["local"], "counts": counts, "stats": given})
 
-    dealt = chunks.select("chunk", "words", "seen").mapInArrow(
-        deal, "part int, chunk long, local array<int>, words array<binary>, seen array<int>"
-    )
-    made = dealt.groupBy("part").applyInArrow(count, "chunk long, local array<int>, counts array<long>, stats array<long>")
+    dealt = chunks.select("chunk", "words", "seen").mapInArrow(deal, "part int, chunk long, local binary, words binary, seen binary")
+    made = dealt.groupBy("part").applyInArrow(count, "chunk long, local binary, counts binary, stats array<long>")
     return written(made, "brown_counts")
 
 
@@ -318,38 +347,47 @@ def _scorer(class_of: np.ndarray, model_: Model, ends: int):
     def score(key, texts: pa.Table, counts: pa.Table) -> pa.Table:
         out = []
         for row in range(texts.num_rows):
-            words = texts["words"][row].values
-            total = np.zeros(len(words) + 1, np.int64)
-            for k in range(counts.num_rows):
-                total[_values(counts, "local", k)] = _values(counts, "counts", k)
+            bucket = _restored(texts, "buckets", row)
+            total = np.zeros(len(bucket) + 1, np.int64)
+            for local, count in zip(counts["local"], counts["counts"]):
+                total[np.frombuffer(local.as_py(), np.int32)] = np.frombuffer(count.as_py(), np.int64)
             total[-1] = ends
-            bucket = _buckets(pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False))
             classes = np.append(class_of[bucket], END)
-            tokens, stops = _values(texts, "tokens", row), _values(texts, "ends", row)
-            sizes = np.diff(np.concatenate(([0], stops)))
-            last = np.cumsum(sizes + 1) - 1
-            which = np.full(len(tokens) + len(sizes), len(words), np.int64)
-            inner = np.ones(len(which), bool)
-            inner[last] = False
-            which[inner] = tokens
-            c, known = total[which], total[which] > 0
-            now = np.where(known, classes[which], END + 1)
-            before = np.concatenate(([END], now[:-1]))
-            before[last[:-1] + 1] = END
-            taken = np.where(which < len(words), discount, 0.0)
-            seen = np.log10(np.maximum((c - taken) * emission[np.minimum(now, END)], least))
-            model = np.where(known, log_follow[before, np.minimum(now, END)] + seen, log_unknown[before])
-            base = np.log10((c + 1) / (n + v + 1))
-            firsts = last - sizes
-            out.append(pa.table({
-                "doc_id": texts["ids"][row].values,
-                "held_out": texts["held"][row].values,
-                "n_tokens": pa.array(sizes + 1, pa.int64()),
-                "n_known": pa.array(np.add.reduceat(known.astype(np.int64), firsts)),
-                "base_score": pa.array(np.add.reduceat(base, firsts)),
-                "score": pa.array(np.add.reduceat(model if n else base, firsts)),
-            }))
-        return pa.concat_tables(out)
+            tokens, stops = _restored(texts, "tokens", row), _values(texts, "ends", row)
+            # Whole texts, as many as have ``SLICE`` tokens.
+            cuts = [0, *(np.flatnonzero(np.diff(stops // SLICE)) + 1).tolist(), len(stops)]
+            for start, end in zip(cuts, cuts[1:]):
+                first = stops[start - 1] if start else 0
+                sizes = np.diff(stops[start:end], prepend=first)
+                some = scored(tokens[first : stops[end - 1]], sizes, total, classes)
+                ids, held = (texts[x][row].values.slice(start, end - start) for x in ("ids", "held"))
+                out.append(pa.table({"doc_id": ids, "held_out": held, **some}))
+        made = pa.concat_tables(out)
+        give_back()
+        return made
+
+    def scored(tokens: np.ndarray, sizes: np.ndarray, total: np.ndarray, classes: np.ndarray) -> dict[str, pa.Array]:
+        """Of texts of these ``sizes``; ``total`` and ``classes`` have the words by number, the end last."""
+        last = np.cumsum(sizes + 1) - 1
+        which = np.full(len(tokens) + len(sizes), len(total) - 1, np.int64)
+        inner = np.ones(len(which), bool)
+        inner[last] = False
+        which[inner] = tokens
+        c, known = total[which], total[which] > 0
+        now = np.where(known, classes[which], END + 1)
+        before = np.concatenate(([END], now[:-1]))
+        before[last[:-1] + 1] = END
+        taken = np.where(which < len(total) - 1, discount, 0.0)
+        seen = np.log10(np.maximum((c - taken) * emission[np.minimum(now, END)], least))
+        model = np.where(known, log_follow[before, np.minimum(now, END)] + seen, log_unknown[before])
+        base = np.log10((c + 1) / (n + v + 1))
+        firsts = last - sizes
+        return {
+            "n_tokens": pa.array(sizes + 1, pa.int64()),
+            "n_known": pa.array(np.add.reduceat(known.astype(np.int64), firsts)),
+            "base_score": pa.array(np.add.reduceat(base, firsts)),
+            "score": pa.array(np.add.reduceat(model if n else base, firsts)),
+        }
 
     return score
 
@@ -362,7 +400,7 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     as often as they occur. Without training rows both scores are those of the base.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    chunks = written(chunked(docs), "brown_chunks")
+    chunks = written(chunked(docs), "brown_chunks", packed=True)
     ends = chunks.agg(F.sum(F.size(F.filter("learned", lambda x: x)))).first()[0] or 0
     # Frequencies of buckets are the contexts under any classes.
     class_of = np.zeros(BUCKETS + 1, np.int64)
@@ -380,7 +418,7 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     model = model_of(bigrams, totals, ends)
     score = _scorer(class_of, model, ends)
     made = (
-        chunks.select("chunk", "words", "ids", "held", "ends", "tokens")
+        chunks.select("chunk", "buckets", "ids", "held", "ends", "tokens")
         .groupBy("chunk")
         .cogroup(counts.select("chunk", "local", "counts").groupBy("chunk"))
         .applyInArrow(score, SCORED.format(id_type))

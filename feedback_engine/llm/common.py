@@ -39,19 +39,21 @@ def passing_tables(spark: SparkSession) -> Iterator[None]:
     remove_folders(spark, *made)
 
 
-def written(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
+def written(df: DataFrame, label: str, lasting: bool = False, packed: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     Cuts the lineage: a lost executor costs the tasks that read the table, not
     the work that made it. Within ``passing_tables`` it goes with the others
-    unless it is ``lasting``.
+    unless it is ``lasting``. A table of few long rows that are compressed
+    already is ``packed``: every row is a row group, so that readers hold one.
     """
     spark = df.sparkSession
     path = new_workspace(spark, label)
     passing = _PASSING.get()
     if passing is not None and not lasting:
         passing.append(path)
-    df.write.parquet(path)
+    options = {"compression": "none", "parquet.block.row.count.limit": "1"} if packed else {}
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -83,10 +85,10 @@ def portions(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Itera
         for start, end in zip(cuts, cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)
-        _give_back()
+        give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Free memory goes back to the system: workers are used again, by stages that need little too."""
     pa.default_memory_pool().release_unused()
     try:
